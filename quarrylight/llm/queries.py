@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mpeg_audio, rendezvous, token_output, vector_packing
+from . import mpeg_audio, rendezvous, suffix_dedup, token_output, vector_packing
 from .common import documents
 
 
@@ -17,6 +17,11 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_packing.pack_documents(documents(spark, sf_dir), "doc_id", "text")
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.remove_repeats(documents(spark, sf_dir), "doc_id", "text")
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     docs = documents(spark, sf_dir).select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"), F.lit("key").alias("law"))
@@ -29,5 +34,5 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.write_matrices(documents(spark, sf_dir), "doc_id", "text")
 
 
-QUERIES = {f.__name__: f for f in (op1_media_columns, op4_packing, op6_sharding, op10_token_output)}
+QUERIES = {f.__name__: f for f in (op1_media_columns, op4_packing, op5_suffix_dedup, op6_sharding, op10_token_output)}
 ORACLES: dict[str, str] = {}
