@@ -112,12 +112,27 @@ def sliding_min(h: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(m[:n], m[w - span : w - span + n])
 
 
+def _highest(keys: np.ndarray, w: int) -> np.ndarray:
+    """For each gram, the highest key of the windows that hold it."""
+    padded = np.full(len(keys) + 2 * (w - 1), ~np.uint64(0))
+    padded[w - 1 : w - 1 + len(keys)] = ~keys
+    return ~sliding_min(padded, w)
+
+
+#: Bit of a run's number of windows.
+BENDS = 128
+
+
 def runs_of(pieces: list[tuple[int, int, bytes]], window: int, gram: int, hot: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(key, hash, document, start, number of windows) of all runs in pieces (document, offset, bytes)."""
+    """(key, hash, document, start, number of windows with BENDS) of all runs in pieces (document, offset, bytes)."""
     width = window - gram + 1
     data = b"".join(p[2] for p in pieces)
     buf = np.frombuffer(data, np.uint8)
-    keys = sliding_min(gram_hashes(buf, gram), width)
+    grams = gram_hashes(buf, gram)
+    keys = sliding_min(grams, width)
+    # a run that holds its key's gram twice may repeat windows within itself (BENDS)
+    chosen = np.flatnonzero(_highest(keys, width) == grams)
+    twice = np.concatenate([[0], np.cumsum(grams[chosen][1:] == grams[chosen][:-1])]) if len(chosen) else np.zeros(1, np.int64)
     sizes = np.array([len(p[2]) for p in pieces], np.int64)
     first = np.concatenate([[0], np.cumsum(sizes)[:-1]])
     usable = np.zeros(len(buf) + 1, np.int8)
@@ -135,18 +150,20 @@ def runs_of(pieces: list[tuple[int, int, bytes]], window: int, gram: int, hot: n
     begin = np.repeat(start, many) + part * width
     n = np.minimum(np.repeat(end, many) - begin, width)
     key = keys[begin]
-    seed = 0
+    low, high = np.searchsorted(chosen, begin), np.searchsorted(chosen, begin + n + width - 1) - 1
+    bends = twice[np.maximum(high, 0)] - twice[np.minimum(low, len(twice) - 1)] > 0
     if len(hot) and (is_hot := np.isin(key, hot)).any():
         b, c = begin[is_hot], n[is_hot]
         single = np.repeat(b, c) + np.arange(c.sum()) - np.repeat(np.cumsum(c) - c, c)
         seen = np.array([xxhash.xxh3_64_intdigest(data[i : i + window], 1) for i in single.tolist()], np.uint64)
         begin, n, key = np.concatenate([begin[~is_hot], single]), np.concatenate([n[~is_hot], np.ones(len(single), n.dtype)]), np.concatenate([key[~is_hot], seen])
+        bends = np.concatenate([bends[~is_hot], np.zeros(len(single), bool)])
     stop = (begin + n + window - 1).tolist()
-    digest = np.array([xxhash.xxh3_64_intdigest(data[i:j], seed) for i, j in zip(begin.tolist(), stop)], np.uint64)
+    digest = np.array([xxhash.xxh3_64_intdigest(data[i:j]) for i, j in zip(begin.tolist(), stop)], np.uint64)
     at = np.searchsorted(first, begin, "right") - 1
     docs = np.array([p[0] for p in pieces], np.int64)
     offsets = np.array([p[1] for p in pieces], np.int64)
-    return key, digest, docs[at], (offsets[at] + begin - first[at]).astype(np.int64), n.astype(np.uint8)
+    return key, digest, docs[at], (offsets[at] + begin - first[at]).astype(np.int64), (n + BENDS * bends).astype(np.uint8)
 
 
 def _pieces(doc: int, raw: bytes, window: int) -> Iterator[tuple[int, int, bytes]]:
@@ -291,11 +308,11 @@ def _settle(frames: pd.DataFrame, window: int, n_docs: int) -> pd.DataFrame:
         order, group, later = _later(key, digest, ids, hashes, start)
         key, ids, hashes, start, n = (c[order] for c in (key, ids, hashes, start, n))
         at = _doc_bucket(ids, hashes, n_docs)
-        out.append(_frame(list(_split(at[later], [ids[later], hashes[later], start[later], start[later] + n[later] + (window - 1)])), MARKS))
+        out.append(_frame(list(_split(at[later], [ids[later], hashes[later], start[later], start[later] + n[later] % BENDS + (window - 1)])), MARKS))
         firsts = key[group]
         _, which, several = np.unique(firsts, return_inverse=True, return_counts=True)
-        want = np.flatnonzero(group)[several[which] > 1]
-        out.append(_frame(list(_split(at[want], [ids[want], hashes[want], start[want], n[want], key[want]])), WANTED))
+        want = np.flatnonzero(group)[(several[which] > 1) | (n[group] >= BENDS)]
+        out.append(_frame(list(_split(at[want], [ids[want], hashes[want], start[want], n[want] % BENDS, key[want]])), WANTED))
     return pd.concat(out) if out else _frame([], 0)
 
 
@@ -388,8 +405,8 @@ def remove_repeats(df: DataFrame, key: str, text: str, carry: list[str] = (), wi
     those shorter than a window, lose nothing. window must exceed gram, a power of two. Nothing is sampled or capped: the
     list of hot keys only says how windows are dealt out.
     """
-    if gram & (gram - 1) or not 8 <= gram < window or window - gram + 1 > 255:
-        raise ValueError("gram must be a power of two from 8 to below window, window - gram below 255")
+    if gram & (gram - 1) or not 8 <= gram < window or window - gram + 1 >= BENDS:
+        raise ValueError("gram must be a power of two from 8 to below window, window - gram below 127")
     carry = list(carry)
     rows = df.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
     n_buckets = buckets_for(total_bytes(rows))
@@ -401,7 +418,7 @@ def remove_repeats(df: DataFrame, key: str, text: str, carry: list[str] = (), wi
             key, digest, doc, start, n = (c[order] for c in (key, digest, doc, start, n))
             out = []
             d = doc[later]
-            out.append(_frame(list(_split(_doc_bucket(ids[d], hashes[d], n_buckets), [ids[d], hashes[d], start[later], start[later] + n[later] + (window - 1)])), MARKS))
+            out.append(_frame(list(_split(_doc_bucket(ids[d], hashes[d], n_buckets), [ids[d], hashes[d], start[later], start[later] + n[later] % BENDS + (window - 1)])), MARKS))
             key, digest, doc, start, n = (c[group] for c in (key, digest, doc, start, n))
             bucket = (mix64(key) % np.uint64(n_buckets)).astype(np.int32)
             rank = np.argsort(bucket, kind="stable")
