@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import golay_simhash, mpeg_audio, rendezvous, suffix_dedup, token_output, vector_packing
+from . import backoff_lm, golay_simhash, mpeg_audio, rendezvous, suffix_dedup, token_output, vector_packing
 from .common import documents
 
 
@@ -35,9 +35,13 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return backoff_lm.score_documents(documents(spark, sf_dir), "doc_id", "text")
+
+
 def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.write_matrices(documents(spark, sf_dir), "doc_id", "text")
 
 
-QUERIES = {f.__name__: f for f in (op1_media_columns, op4_packing, op5_suffix_dedup, op6_sharding, op7_simhash, op10_token_output)}
+QUERIES = {f.__name__: f for f in (op1_media_columns, op4_packing, op5_suffix_dedup, op6_sharding, op7_simhash, op9_lm_scoring, op10_token_output)}
 ORACLES: dict[str, str] = {}
