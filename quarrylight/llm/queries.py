@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import backoff_lm, golay_simhash, mpeg_audio, rendezvous, suffix_dedup, token_output, vector_packing
+from . import backoff_lm, cover_tree, golay_simhash, mpeg_audio, rendezvous, suffix_dedup, token_output, vector_packing
 from .common import documents
 
 
@@ -13,6 +13,10 @@ def op1_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mpeg_audio.store_texts(documents(spark, sf_dir), "doc_id", "text")
 
 
+def op3_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_tree.top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), "vec_id", "embedding", "vec_id % 50 = 0")
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_packing.pack_documents(documents(spark, sf_dir), "doc_id", "text")
 
@@ -43,5 +47,5 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.write_matrices(documents(spark, sf_dir), "doc_id", "text")
 
 
-QUERIES = {f.__name__: f for f in (op1_media_columns, op4_packing, op5_suffix_dedup, op6_sharding, op7_simhash, op9_lm_scoring, op10_token_output)}
+QUERIES = {f.__name__: f for f in (op1_media_columns, op3_cover_tree, op4_packing, op5_suffix_dedup, op6_sharding, op7_simhash, op9_lm_scoring, op10_token_output)}
 ORACLES: dict[str, str] = {}
