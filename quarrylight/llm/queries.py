@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import backoff_lm, cover_tree, golay_simhash, mpeg_audio, rendezvous, suffix_dedup, token_output, vector_packing
+from . import backoff_lm, cover_tree, golay_simhash, mpeg_audio, ordinal_quality, rendezvous, suffix_dedup, token_output, vector_packing
 from .common import documents
 
 
@@ -13,6 +13,20 @@ def op1_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mpeg_audio.store_texts(documents(spark, sf_dir), "doc_id", "text")
 
 
+#: Grades from the labels: 0 toxic, 1 of low quality, 2 good. Kept: documents with P(grade >= 2) of LEAST or more.
+GRADE, GRADES, LEAST = "CASE WHEN toxic = 1 THEN 0 WHEN quality = 0 THEN 1 WHEN quality = 1 THEN 2 END", 3, 0.65
+
+
+def quality_model(docs: DataFrame, sf_dir: str) -> ordinal_quality.Model:
+    labels = docs.sparkSession.read.parquet(f"{sf_dir}/labels.parquet")
+    return ordinal_quality.train(docs, labels, "doc_id", "text", F.expr(GRADE), GRADES)
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return ordinal_quality.grade_documents(docs, "doc_id", "text", quality_model(docs, sf_dir)).withColumn("keep", F.col("tail_2") >= LEAST)
+
+
 def op3_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cover_tree.top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), "vec_id", "embedding", "vec_id % 50 = 0")
 
@@ -47,5 +61,5 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.write_matrices(documents(spark, sf_dir), "doc_id", "text")
 
 
-QUERIES = {f.__name__: f for f in (op1_media_columns, op3_cover_tree, op4_packing, op5_suffix_dedup, op6_sharding, op7_simhash, op9_lm_scoring, op10_token_output)}
+QUERIES = {f.__name__: f for f in (op1_media_columns, op2_quality, op3_cover_tree, op4_packing, op5_suffix_dedup, op6_sharding, op7_simhash, op9_lm_scoring, op10_token_output)}
 ORACLES: dict[str, str] = {}
