@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import backoff_lm, cover_tree, golay_simhash, mpeg_audio, ordinal_quality, rendezvous, suffix_dedup, token_output, vector_packing
+from . import backoff_lm, cover_tree, golay_simhash, mixing, mpeg_audio, ordinal_quality, rendezvous, suffix_dedup, token_output, vector_packing
 from .common import documents
 
 
@@ -53,6 +53,22 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+#: Weights of the mix by language, near the square roots of their usual shares.
+TARGETS = {"en": 0.40, "de": 0.20, "fr": 0.20, "es": 0.20}
+
+
+def language_labels(docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Domains of the labelled table's good documents: their language."""
+    labels = docs.sparkSession.read.parquet(f"{sf_dir}/labels.parquet").filter("quality = 1 AND toxic = 0").select("doc_id").distinct()
+    return docs.select("doc_id", "lang").join(labels, "doc_id")
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    out = mixing.mix(docs, "doc_id", "text", language_labels(docs, sf_dir), TARGETS)
+    return out.select("doc_id", "tokens", *(F.col("p")[i].alias(f"p_{d}") for i, d in enumerate(TARGETS)), "rate", "copies")
+
+
 def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return backoff_lm.score_documents(documents(spark, sf_dir), "doc_id", "text")
 
@@ -61,5 +77,5 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.write_matrices(documents(spark, sf_dir), "doc_id", "text")
 
 
-QUERIES = {f.__name__: f for f in (op1_media_columns, op2_quality, op3_cover_tree, op4_packing, op5_suffix_dedup, op6_sharding, op7_simhash, op9_lm_scoring, op10_token_output)}
+QUERIES = {f.__name__: f for f in (op1_media_columns, op2_quality, op3_cover_tree, op4_packing, op5_suffix_dedup, op6_sharding, op7_simhash, op8_mixing, op9_lm_scoring, op10_token_output)}
 ORACLES: dict[str, str] = {}
