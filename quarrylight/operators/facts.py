@@ -17,10 +17,14 @@ TABLE_ROW = "deterministic_pdf_table_row_screening"
 AHEAD, LABEL, PAGE_HEAD = 8, 60, 2500
 
 
-def _table_rows(text: Column, profile: Profile) -> Column:
-    """Rows of a table page: a line with a numbered formula and up to eight lines that belong to it; with raw offsets."""
+def _table_lines(text: Column, profile: Profile) -> Column:
+    """Nonempty lines with raw offsets, f: has a formula with a digit, l: a short label without number."""
     lines = F.filter(F.transform(X.pieces(text, F.lit(X.LINE_BREAK)), lambda p: F.struct(X.clean(p["piece"]).alias("t"), (p["start"] + F.length(F.regexp_extract(p["piece"], r"(?U)^\s*", 0))).alias("a"), (p["start"] + F.length(F.regexp_replace(p["piece"], r"(?U)\s+$", ""))).alias("z"))), lambda p: p["t"] != "")
-    flagged = F.transform(lines, lambda p: p.withField("f", F.exists(X.find_all(p["t"], profile.formula_pattern, False, profile.formula_group), lambda m: F.regexp_like(m, F.lit(r"(?U)\d")))).withField("l", (F.length(p["t"]) < LABEL) & ~X.matches(p["t"], X.TABLE_NUMBER)))
+    return F.transform(lines, lambda p: p.withField("f", F.exists(X.find_all(p["t"], profile.formula_pattern, False, profile.formula_group), lambda m: F.regexp_like(m, F.lit(r"(?U)\d")))).withField("l", (F.length(p["t"]) < LABEL) & ~X.matches(p["t"], X.TABLE_NUMBER)))
+
+
+def _table_rows(flagged: Column) -> Column:
+    """Rows of a table page: a line with a numbered formula and up to eight lines that belong to it; with raw offsets."""
 
     def block(all_lines: Column, i: Column) -> Column:
         after = F.slice(all_lines, i + 2, F.lit(AHEAD))
@@ -43,6 +47,8 @@ def fact_candidates(pages: DataFrame, profile: Profile) -> DataFrame:
     """
     p = pages.select("source_id", "page", F.coalesce("text", F.lit("")).alias("text")).withColumn("is_table", X.is_table_page(F.col("text")))
     text = F.col("text")
+    # a column of its own, so that the lines' patterns run once for each line
+    p = p.withColumn("lines", F.when(F.col("is_table"), _table_lines(text, profile)))
 
     def sentence(x: Column) -> Column:
         return F.struct(x["piece"].alias("piece"), (x["start"] + F.length(F.regexp_extract(x["piece"], r"(?U)^\s*", 0))).alias("start"), (x["start"] + F.length(F.regexp_replace(x["piece"], r"(?U)\s+$", ""))).alias("end"))
@@ -50,7 +56,7 @@ def fact_candidates(pages: DataFrame, profile: Profile) -> DataFrame:
     rule = F.when(F.col("is_table"), F.lit(X.java(X.SPLIT_TABLE))).otherwise(F.lit(X.java(X.SPLIT_PROSE)))
     both = F.concat(
         F.transform(X.pieces(text, rule), lambda x: F.struct(F.lit(False).alias("row"), sentence(x).alias("x"))),
-        F.when(F.col("is_table"), F.transform(_table_rows(text, profile), lambda x: F.struct(F.lit(True).alias("row"), x.alias("x")))).otherwise(F.array().cast("array<struct<row:boolean,x:struct<piece:string,start:int,end:int>>>")),
+        F.when(F.col("is_table"), F.transform(_table_rows(F.col("lines")), lambda x: F.struct(F.lit(True).alias("row"), x.alias("x")))).otherwise(F.array().cast("array<struct<row:boolean,x:struct<piece:string,start:int,end:int>>>")),
     )
     c = p.withColumn("page_themes", F.when(F.col("is_table"), X.themes(F.left(text, F.lit(PAGE_HEAD)), profile.keyword_groups)))
     c = c.select("source_id", "page", "text", "page_themes", F.posexplode(both).alias("ord", "c")).select("*", F.col("c.row").alias("row"), X.squeeze(X.clean(F.col("c.x.piece"))).alias("s"), "c.x.start", "c.x.end")
