@@ -70,3 +70,75 @@ def next_id(ids: DataFrame, column: str, prefix: str = "R", width: int = 3) -> D
     n = F.regexp_extract(column, f"^{prefix}(\\d+)$", 1).try_cast("bigint")
     top = F.coalesce(F.max(n), F.lit(0)) + 1
     return ids.agg(top.alias("n")).select(F.concat(F.lit(prefix), F.lpad(F.col("n").cast("string"), F.greatest(F.lit(width), F.length(F.col("n").cast("string"))), F.lit("0"))).alias("next_id"))
+
+
+# Fixed values.
+THESIS = ("博士学位论文", "硕士学位论文", "学位论文", "doctoral dissertation", "master's thesis")
+EXCLUDED = ("reports", "datasets", "verified_duplicates")
+USELESS_TITLES = ("microsoft word", "untitled", "administrator", "doi:")
+YEAR = r"(?<!\d)((?:19|20)\d{2})(?!\d)"
+PUBLISHED = r"(?is)(?:授权公告日|申请公布日|公开日|published|publication date).{0,40}?((?:19|20)\d{2})"
+
+
+def classify(files: DataFrame) -> DataFrame:
+    """files: path, hash, text, metadata_title, and overrides category_o, venue_o, year_o, title_o, doi_o (null: none).
+
+    Adds extension, supplementary, category, doi, patent_number, school, venue, year, title, status (ready, unresolved, excluded).
+    An override wins, then a name such as "venue - year - title" in a folder of its category, then what the text's first
+    thousands of characters say. A supplement counts as a paper.
+    """
+    empty = lambda c: F.nullif(F.trim(c), F.lit(""))
+    path, text = F.col("path"), F.coalesce("text", F.lit(""))
+    parts = F.split(F.lower(path), "/")
+    name = F.element_at(F.split(path, "/"), -1)
+    stem, extension = F.regexp_replace(name, r"\.[^.]*$", ""), F.lower(F.regexp_extract(name, r"(\.[^.]*)$", 1))
+    form = F.split(stem, " - ", 3)
+    folder = F.coalesce(F.try_element_at(parts, F.lit(-2)), F.lit(""))
+    formed = F.regexp_like(F.coalesce(F.get(form, 1), F.lit("")), F.lit(r"^(?:19|20)\d{2}$"))
+    whole = formed & (F.size(form) == 3)
+    named = F.when((folder == "paper") & whole, "paper").when(folder.isin("thesis", "学位论文") & whole, "thesis").when((folder == "patent") & formed, "patent")
+    number = F.coalesce(*(empty(F.upper(F.regexp_extract(F.replace(t, F.lit(" "), F.lit("")), "(?i)(" + PATENT + ")", 1))) for t in (stem, F.left(text, F.lit(5000)))))
+    low = F.lower(F.concat(path, F.lit("\n"), F.left(text, F.lit(8000))))
+    thesis = F.lit(False)
+    for m in THESIS:
+        thesis = thesis | F.contains(low, F.lit(m))
+    paper = (extension == ".pdf") & (F.array_contains(parts, "paper") | X.matches(F.left(text, F.lit(12000)), X.DOI, True) | F.contains(low, F.lit("journal")))
+    supplement = is_supplement(name)
+    guessed = F.when(F.array_contains(parts, "patent") | F.contains(F.left(text, F.lit(3000)), F.lit("发明专利")) | number.isNotNull(), "patent").when(thesis, "thesis").when(paper, "paper").otherwise("unknown")
+    granted = F.regexp_extract(number, r"^(?:US|WO)((?:19|20)\d{2})", 1)
+    year = F.coalesce(empty(granted), empty(F.regexp_extract(text, PUBLISHED, 1)), empty(F.regexp_extract(F.left(text, F.lit(8000)), YEAR, 1))).cast("int")
+    school = F.coalesce(
+        F.get(F.filter(F.regexp_extract_all(F.left(text, F.lit(6000)), F.lit("([\\u4e00-\\u9fff]{2,18}(?:大学|学院))"), F.lit(1)), lambda s: ~s.isin("硕士学位论文", "博士学位论文")), 0),
+        empty(F.regexp_extract(F.left(text, F.lit(6000)), "((?:University|Institute) of [A-Z][A-Za-z &-]{2,60})", 1)),
+    )
+    title = X.safe_name(F.coalesce("metadata_title", F.lit("")), 1000)
+    useless = F.length(title) < 12
+    for m in USELESS_TITLES:
+        useless = useless | F.contains(F.lower(title), F.lit(m))
+    fallback = X.safe_name(stem, 1000)
+    best = F.when(~useless, title).when(F.length(fallback) >= 8, fallback)
+    out = files.withColumn("extension", extension).withColumn("supplementary", supplement).withColumn("category", F.when(supplement & ~F.coalesce(F.col("category_o") == "exclude", F.lit(False)), "paper").otherwise(F.coalesce("category_o", named, guessed)))
+    has_name = named.isNotNull()
+    out = out.withColumn("doi", F.when(F.col("category") == "paper", F.coalesce(X.clean_doi(F.col("doi_o")), X.clean_doi(F.left(text, F.lit(16000))))))
+    out = out.withColumn("patent_number", F.when(F.col("category") == "patent", F.coalesce(F.when(named == "patent", form[0]), number)))
+    out = out.withColumn("school", F.when(F.col("category") == "thesis", F.coalesce(F.when(named == "thesis", form[0]), school)))
+    out = out.withColumn("venue", F.coalesce("venue_o", F.when(named == "paper", form[0])))
+    out = out.withColumn("year", F.coalesce("year_o", F.when(has_name, F.get(form, 1).try_cast("int")), year))
+    out = out.withColumn("title", F.coalesce("title_o", F.when(has_name, F.get(form, 2)), best))
+    known = F.when(F.col("category") == "paper", F.col("venue").isNotNull() & F.col("title").isNotNull()).when(F.col("category") == "thesis", F.col("school").isNotNull() & F.col("title").isNotNull()).when(F.col("category") == "patent", F.col("patent_number").isNotNull())
+    excluded = (F.col("category") == "exclude") | (F.arrays_overlap(parts, F.array(*map(F.lit, EXCLUDED))) & F.col("category_o").isNull())
+    return out.withColumn("status", F.when(excluded, "excluded").when(F.coalesce(known, F.lit(False)) & F.col("year").isNotNull(), "ready").otherwise("unresolved"))
+
+
+def organise(classified: DataFrame) -> DataFrame:
+    """Plan: canonical files that are ready get a target, all rows keep their status. Nothing is moved."""
+    ready = classified.filter("status = 'ready'")
+    key = F.when(F.col("supplementary"), F.concat(F.lit("si:"), "hash", "extension")).otherwise(bibliographic_key(F.col("category"), F.col("doi"), F.when(F.col("category") == "patent", F.col("patent_number")).otherwise(F.col("title")), F.when(F.col("category") != "patent", F.col("year"))))
+    low = F.lower("path")
+    penalty = sum((F.contains(low, F.lit(w)).cast("int") for w in ("inbox", "verified_duplicates", "source_packages")), F.lit(0))
+    best = canonical_files(ready.withColumn("key", key).withColumn("penalty", penalty).drop("status"))
+    venue = F.coalesce(F.when(F.col("category") == "patent", F.col("patent_number")).when(F.col("category") == "thesis", F.col("school")).otherwise(F.col("venue")), F.lit(""))
+    venue = F.when(F.col("supplementary"), F.concat(F.lit("SI - "), venue)).otherwise(venue)
+    target = target_name(F.col("category"), venue, F.col("year").cast("string"), F.coalesce("title", F.lit("")), F.col("extension"))
+    done = best.withColumn("target", F.when(F.col("status") == "canonical", target)).drop("key", "penalty")
+    return done.unionByName(classified.filter("status <> 'ready'"), allowMissingColumns=True)

@@ -92,3 +92,32 @@ def new_measurements(paired: DataFrame, existing: DataFrame) -> DataFrame:
     first = p.groupBy("source_id", *KEY).agg(F.min_by(F.struct("page", "sentence", "formula"), F.struct("page", "sentence")).alias("f")).select("source_id", *KEY, "f.*")
     same = [first[c].eqNullSafe(existing[c]) for c in KEY]
     return first.join(existing.select(*KEY).distinct(), same, "left_anti")
+
+
+#: Temperatures of measurements.
+DEGREES = r"(\d{2,4}(?:\.\d+)?)\s*(?:°|º|/C14\s*)?\s*C\b"
+
+
+def promote(pages: DataFrame, titles: DataFrame, batch: DataFrame, existing: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """pages: source_id, page, text; titles: source_id, title, sha256, category; batch: sha256; existing: the master's fingerprints.
+
+    (new measurements, counts of rejections by reason). Only papers, theses and patents of the batch take part; nothing is written.
+    """
+    from .formulas import OPENING_PAGES, resolve_formulas
+
+    chosen = titles.filter(F.col("category").isin("paper", "thesis", "patent")).withColumn("h", F.upper("sha256"))
+    chosen = chosen.join(batch.select(F.upper("sha256").alias("h")).distinct(), "h", "left_semi")
+    review = X.matches(F.coalesce("title", F.lit("")), REVIEW, True)
+    kept = pages.join(chosen.filter(~review).select("source_id"), "source_id", "left_semi")
+    flagged = references_flag(kept)
+    said = flagged.filter(~F.col("in_references")).select("source_id", "page", F.explode(sentences(F.coalesce("text", F.lit("")))).alias("sentence")).withColumn("reason", reject_reason(F.col("sentence")))
+    first = kept.groupBy("source_id").agg(F.array_sort(F.collect_list(F.when(F.col("page") <= OPENING_PAGES, F.struct("page", "text")))).alias("p"))
+    openings = chosen.select("source_id", "title").join(first, "source_id", "left").select("source_id", "title", F.transform("p", lambda x: x["text"]).alias("pages"))
+    paired = pair_measurements(resolve_formulas(said.filter("reason IS NULL"), openings), DEGREES)
+    new = new_measurements(paired, existing)
+    one = lambda df, reason: df.select(F.lit(reason).alias("reason"))
+    reasons = one(chosen.filter(review), "review_or_perspective_document").unionByName(one(flagged.filter("in_references"), "references_section"))
+    reasons = reasons.unionByName(said.filter("reason IS NOT NULL").select("reason")).unionByName(paired.filter("reason IS NOT NULL").select("reason"))
+    fresh = paired.filter("reason IS NULL").withColumn("formula_key", X.formula_key(F.col("formula"))).select("source_id", *KEY).distinct()
+    known = fresh.join(existing.select(*KEY).distinct(), [fresh[c].eqNullSafe(existing[c]) for c in KEY], "left_semi")
+    return new, reasons.unionByName(one(known, "already_in_master")).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))

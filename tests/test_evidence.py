@@ -168,7 +168,7 @@ def test_file_profiles():
     with zipfile.ZipFile(z, "w") as w:
         w.writestr("a.txt", "hello")
     assert files.profile_zip(z.getvalue())["members"][0]["crc32"] == "3610A686"
-    assert files.read_csv("a;b\n1;2\n3;4\n5\n".encode("utf-8-sig"))[0] == [["a", "b"], ["1", "2"], ["3", "4"], ["5"]]
+    assert files.read_csv(("a;b\n" + "1;2\n" * 30 + "5\n").encode("utf-8-sig"))[0] == [["a", "b"], *[["1", "2"]] * 30, ["5"]]
     assert files.read_csv("列,值\n钠,1\n".encode("gb18030"))[1] == "gb18030"
     assert files.summary([True, 1, 1.0, "", None])["numeric"]["count"] == 3
 
@@ -209,3 +209,37 @@ def test_streaming_refresh(spark, tmp_path):
         pages(spark, text).write.mode("append").parquet(str(tmp_path / "pages"))
         screen_new_pages(spark, p, str(tmp_path / "pages"), str(tmp_path / "facts"), str(tmp_path / "ck")).awaitTermination()
         assert spark.read.parquet(str(tmp_path / "facts")).count() == 1
+
+
+def test_promotion_job(spark):
+    text = "We use La0.6Sr0.4Co0.2Fe0.8O3 (LSCF) here. LSCF has an electrical conductivity of 300 S cm-1 at 700 °C. The ASR was reported by others as 5 ohm cm2 at 600 °C."
+    pg = spark.createDataFrame([("a", 1, text), ("a", 2, "References\nLSCF has an electrical conductivity of 301 S cm-1 at 700 °C."), ("b", 1, "x")], "source_id string, page int, text string")
+    titles = spark.createDataFrame([("a", "Work on cathodes", "aa", "paper"), ("b", "A review of all", "bb", "paper"), ("c", "Other batch", "cc", "paper")], "source_id string, title string, sha256 string, category string")
+    batch = spark.createDataFrame([("AA",), ("BB",)], "sha256 string")
+    none = spark.createDataFrame([], "formula_key string, property string, value double, unit string, temperature_c double")
+    new, why = promotion.promote(pg, titles, batch, none)
+    (m,) = new.collect()
+    assert (m.formula, m.value, m.unit, m.temperature_c) == ("La0.6Sr0.4Co0.2Fe0.8O3", 300.0, "S/cm", 700.0)
+    assert {r.reason: r.n for r in why.collect()} == {"review_or_perspective_document": 1, "references_section": 1, "secondary_or_cited_statement": 1}
+    again, why = promotion.promote(pg, titles, batch, new)
+    assert again.count() == 0 and {r.reason: r.n for r in why.collect()}["already_in_master"] == 1
+
+
+def test_formula_resolution():
+    from quarrylight.operators.formulas import document_context, resolve
+
+    names, heads = document_context("On La0.6Sr0.4Co0.2Fe0.8O3", ["We use La0.6Sr0.4Co0.2Fe0.8O3 (LSCF) here."])
+    assert resolve("LSCF is good.", names, heads) == ("La0.6Sr0.4Co0.2Fe0.8O3", "document_abbreviation_definition")
+    assert resolve("It is good.", {}, heads) == ("La0.6Sr0.4Co0.2Fe0.8O3", "single_formula_in_title")
+    assert resolve("Ba0.5Sr0.5Co0.8Fe0.2O3 is good.", {}, []) == ("Ba0.5Sr0.5Co0.8Fe0.2O3", "explicit_same_sentence")
+    assert resolve("It is good.", {}, []) == (None, "ambiguous_or_missing_formula")
+
+
+def test_organiser(spark):
+    rows = [("in/paper/Nature - 2020 - A long title.pdf", "h1", "text", None), ("in/x/A long title copy.pdf", "h1", "text", None), ("in/x/CN 1234567A.pdf", "h2", "发明专利 published on 2019-01-02", None), ("in/x/thesis.pdf", "h3", "博士学位论文 清华大学 2018", "A useful thesis title"), ("in/reports/r.pdf", "h4", "", None), ("in/x/y_SI.xlsx", "h5", None, None)]
+    f = spark.createDataFrame(rows, "path string, hash string, text string, metadata_title string")
+    for c, k in (("category", "string"), ("venue", "string"), ("year", "int"), ("title", "string"), ("doi", "string")):
+        f = f.withColumn(f"{c}_o", F.lit(None).cast(k))
+    got = {r.path: (r.status, r.target) for r in literature.organise(literature.classify(f)).collect()}
+    assert got[rows[0][0]] == ("canonical", "paper/Nature - 2020 - A long title.pdf") and got[rows[2][0]] == ("canonical", "patent/CN1234567A - 2019.pdf")
+    assert got[rows[3][0]] == ("canonical", "thesis/清华大学 - 2018 - A useful thesis title.pdf") and got[rows[4][0]] == ("excluded", None) and got[rows[5][0]] == ("unresolved", None)
