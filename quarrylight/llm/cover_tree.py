@@ -36,6 +36,14 @@ class Node:
     begin: int  # the node's points: a stretch of the tree's order
     end: int
     children: list[Node]
+    packed: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None
+
+    def below(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Centres, norms and radii of the children, as arrays."""
+        if self.packed is None:
+            c = self.children
+            self.packed = np.array([x.centre for x in c]), np.array([x.norm for x in c]), np.array([x.radius for x in c])
+        return self.packed
 
 
 class CoverTree:
@@ -89,11 +97,11 @@ class Search:
             kth = np.maximum(kth, self.floor[n.begin : n.end])
         return float(kth.min())
 
-    def against(self, ids: np.ndarray, vectors: np.ndarray) -> None:
+    def against(self, ids: np.ndarray, tree: CoverTree) -> None:
+        """ids: of the tree's points."""
         if not len(ids) or not len(self.ids):
             return
-        tree = CoverTree(vectors)
-        self.r, self.r_ids = vectors[tree.order], ids[tree.order]
+        self.r, self.r_ids = tree.points[tree.order], ids[tree.order]
         todo = [(self.tree.root, tree.root, np.inf)]
         while todo:
             q, r, bound = todo.pop()
@@ -101,26 +109,29 @@ class Search:
                 self.pruned += 1
                 continue
             if not q.children and not r.children:
-                self._base(q, r)
+                self._base(q, np.arange(r.begin, r.end))
                 continue
             qs = q.children or [q]
             rs = r.children or [r]
-            centres = np.array([x.centre for x in rs])
-            norms, radii = np.array([x.norm for x in rs]), np.array([x.radius for x in rs])
+            centres, norms, radii = r.below() if r.children else (r.centre[None, :], np.array([r.norm]), np.array([r.radius]))
             for a in qs:
                 top = centres @ a.centre + a.radius * norms + radii * a.norm + a.radius * radii
                 top += 1e-9 * (1 + np.abs(top))  # rounding
-                worst = self._worst(a)
-                for i in np.argsort(top, kind="stable").tolist():  # the most promising pair is taken first
-                    if top[i] >= worst:
-                        todo.append((a, rs[i], float(top[i])))
-                    else:
-                        self.pruned += 1
-
-    def _base(self, q: Node, r: Node) -> None:
-        self.pairs += (q.end - q.begin) * (r.end - r.begin)
-        s = self.q[q.begin : q.end] @ self.r[r.begin : r.end].T
-        ids = self.r_ids[r.begin : r.end]
+                open_ = np.flatnonzero(top >= self._worst(a))
+                self.pruned += len(top) - len(open_)
+                order = open_[np.argsort(top[open_], kind="stable")].tolist()  # the most promising pair is taken first
+                if not a.children:  # leaves that are left are compared at one go
+                    ends = [np.arange(rs[i].begin, rs[i].end) for i in order if not rs[i].children]
+                    if ends:
+                        self._base(a, np.concatenate(ends))
+                    order = [i for i in order if rs[i].children]
+                for i in order:
+                    todo.append((a, rs[i], float(top[i])))
+
+    def _base(self, q: Node, points: np.ndarray) -> None:
+        self.pairs += (q.end - q.begin) * len(points)
+        s = self.q[q.begin : q.end] @ self.r[points].T
+        ids = self.r_ids[points]
         s[self.ids[q.begin : q.end, None] == ids[None, :]] = -np.inf
         kth = self.score[q.begin : q.end, -1]
         if self.floor is not None:
@@ -223,13 +234,13 @@ def top_k(df: DataFrame, key: str, vector: str, is_query: str, k: int = 5, scale
         if len(g) and len(d):
             ids, blobs = d["id"].to_numpy(np.int64), d["v"].tolist()
             keep = _fewest(ids, blobs, k)
-            vectors = _matrix(pd.Series([blobs[i] for i in keep.tolist()]))
+            tree = CoverTree(_matrix(pd.Series([blobs[i] for i in keep.tolist()])))  # one for all groups that come here
             for row in g.itertuples():
                 q = np.frombuffer(row.ids, np.int64)
                 s = Search(q, np.frombuffer(row.vs, np.int32).reshape(len(q), -1).astype(np.float64), k)
                 if len(row.floor):
                     s.known(np.frombuffer(row.floor, np.float64))
-                s.against(ids[keep], vectors)
+                s.against(ids[keep], tree)
                 out.append(pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), s.results()))))
         return pd.concat(out).astype("int64") if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype("int64")
 
