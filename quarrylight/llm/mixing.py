@@ -102,7 +102,9 @@ def rates(post: DataFrame, targets: list[float], rounds: int = 40, whole: bool =
         if sum(abs(x) for x in off) <= 1e-6 * max(1.0, sum(aim)):
             break
         steps.append([off[i] / own[i] / bound for i in range(k)])
-        reached = sums(rate())[:k]
+        last, reached = reached, sums(rate())[:k]
+        if sum(abs(a - b) for a, b in zip(last, reached)) <= 1e-5 * max(1.0, sum(aim)):
+            break  # the bounds of the rates keep the rest
     return groups.withColumn("rate", rate()), aim, reached
 
 
