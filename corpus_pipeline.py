@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from quarrylight.llm import golay_simhash, mixing, ordinal_quality, queries, suffix_dedup, vector_packing
 from quarrylight.llm.common import cut, documents
 
-#: Near copies: fingerprints over word pairs that differ in at most so many bits. On the test documents this takes most pairs with a
-#: five-word similarity of 0.8 or more, and no pair below 0.5; links of the stricter query (three words, 2 bits) are among them.
+#: Candidates for near copies: fingerprints over word pairs that differ in at most so many bits. The five-word similarity of candidates is
+#: then counted exactly, so that this decides only what is found, not what counts as a near copy.
 SHINGLE, DISTANCE = 2, 7
 
 
@@ -23,11 +23,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id; rows of one id count as one. Of documents without an id
-    those stay whose group has no id at all."""
-    groups = golay_simhash.near_groups(docs, "doc_id", "text", SHINGLE, DISTANCE)
-    stay = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__stay")).distinct()
-    return docs.join(stay, docs["doc_id"].eqNullSafe(stay["__stay"]), "left_semi").dropDuplicates(["doc_id"])
+    """Of each group of near copies (similarity of five words in a row of 0.8 or more) the document with the smallest id; rows of one id
+    count as one. Of documents without an id those stay whose group has no id at all."""
+    return golay_simhash.keep_one(docs, "doc_id", "text", SHINGLE, DISTANCE)
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

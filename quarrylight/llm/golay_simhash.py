@@ -10,6 +10,9 @@ as the word halfway between lies within 3 of a codeword. Pigeonhole says how man
 
 Fingerprints that share a key are compared bit by bit; of those that agree, each bucket sends a spanning forest only.
 Components come from alternating stars on these links. Copies collapse to one fingerprint before any of this.
+
+keep_one() takes such components as candidates only: documents are near copies where their sets of word shingles have a Jaccard
+similarity of 0.8 or more, counted exactly, and groups are the components of these links.
 """
 
 from __future__ import annotations
@@ -18,6 +21,7 @@ from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -28,6 +32,9 @@ from .common import cut
 SEED = 42
 #: Generator polynomial of the (23, 12) Golay code: x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1.
 GENERATOR = 0b110001110101
+#: Near copies: sets of so many words in a row with a similarity of so many parts in so many; sets in a block of a large component.
+WORDS, PARTS, WHOLE = 5, 4, 5
+BLOCK = 256
 
 
 def _remainder(v: int) -> int:
@@ -220,3 +227,106 @@ def near_groups(df: DataFrame, key: str, text: str, shingle: int = 3, distance:
     least = member.groupBy("root").agg(F.min("first").alias("component_id"))
     named = cut(member.join(least, "root").select("fp", "component_id"), "components")
     return docs.join(named, "fp").select(F.col("key").alias(key), "fp", "component_id")
+
+
+def shingle_set(raw: bytes, words: int = WORDS) -> np.ndarray:
+    """Sorted XXH64 of the distinct shingles of a text; words as in fingerprint (fewer words: all of them; no word: none)."""
+    w = raw.lower().split()
+    if not w:
+        return np.empty(0, np.uint64)
+    return np.unique(np.array([xxhash.xxh64_intdigest(b" ".join(w[i : i + words]), SEED) for i in range(max(1, len(w) - words + 1))], np.uint64))
+
+
+def similar_forest(sets: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Spanning forest of the pairs of sets whose Jaccard similarity is PARTS / WHOLE or more."""
+    sets = [np.asarray(s, np.uint64) for s in sets]
+    size = np.array([len(s) for s in sets], np.int64)
+    out, left = [], np.flatnonzero(size)  # an empty set is like no other
+    _, at = np.unique(np.concatenate([*sets, np.empty(0, np.uint64)]), return_inverse=True)
+    ends = np.cumsum(size)
+    own = [at[e - n : e] for e, n in zip(ends.tolist(), size.tolist())]
+    has = np.zeros(int(at.max()) + 1 if len(at) else 0, bool)
+    while len(left) > 1:
+        queue, left = [int(left[0])], left[1:]
+        while queue and len(left):
+            i = queue.pop()
+            fit = np.flatnonzero(WHOLE * np.minimum(size[left], size[i]) >= PARTS * np.maximum(size[left], size[i]))
+            if not len(fit):
+                continue
+            has[own[i]] = True
+            n = size[left[fit]]
+            both = np.add.reduceat(has[np.concatenate([own[j] for j in left[fit].tolist()])].astype(np.int64), np.cumsum(n) - n)
+            has[own[i]] = False
+            near = fit[WHOLE * both >= PARTS * (n + size[i] - both)]
+            new = left[near].tolist()
+            left = np.delete(left, near)
+            queue += new
+            out += [(i, j) for j in new]
+    return out
+
+
+def _sketches(df: DataFrame, key: str, text: str, shingle: int) -> DataFrame:
+    """key, id (SHA-256 of the text), fp, same (128 bits of the set of shingles) of each row; null texts count as empty, their id is null."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            raw = [(x.as_py() or "").encode("utf-8", "surrogatepass") for x in b.column(2)]
+            fp = np.array([fingerprint(x, shingle) for x in raw], np.uint64)
+            same = [xxhash.xxh3_128_digest(shingle_set(x).tobytes(), SEED) for x in raw]
+            yield pa.record_batch([b.column(0), b.column(1), pa.array(fp.view(np.int64)), pa.array(same, pa.binary())], names=["key", "id", "fp", "same"])
+
+    kind = df.schema[key].dataType.simpleString()
+    return df.select(df[key].alias("key"), F.sha2(df[text], 256).alias("id"), df[text].alias("text")).mapInArrow(run, f"key {kind}, id string, fp long, same binary")
+
+
+def similar_links(members: DataFrame) -> DataFrame:
+    """(a, b): links that connect all similar sets within one root. members: root, n (members of the root), same, text.
+
+    A root of more than BLOCK members is cut into blocks, and each pair of blocks is compared by itself: no task holds more than
+    some two blocks, but comparisons grow with the square of a root's different sets.
+    """
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for root, n, same, text in zip(*(c.to_pylist() for c in b.columns)):
+                blocks = -(-n // BLOCK)
+                own = int.from_bytes(same[:8], "little") % blocks
+                to = [(min(own, x), max(own, x)) for x in range(blocks) if x != own] or [(0, 0)]
+                s = shingle_set((text or "").encode("utf-8", "surrogatepass")).tobytes()
+                for at in range(0, len(to), 64):
+                    part = to[at : at + 64]
+                    cols = [pa.array([root] * len(part), pa.int64()), pa.array([x for x, _ in part], pa.int32()), pa.array([y for _, y in part], pa.int32()), pa.array([same] * len(part), pa.binary()), pa.array([s] * len(part), pa.binary())]
+                    yield pa.record_batch(cols, names=["root", "i", "j", "same", "s"])
+
+    def compare(p: pd.DataFrame) -> pd.DataFrame:
+        same = p["same"].tolist()
+        found = similar_forest([np.frombuffer(x, np.uint64) for x in p["s"]])
+        return pd.DataFrame([(same[i], same[j]) for i, j in found], columns=["a", "b"])
+
+    dealt = members.select("root", "n", "same", "text").mapInArrow(deal, "root long, i int, j int, same binary, s binary")
+    return dealt.groupBy("root", "i", "j").applyInPandas(compare, "a binary, b binary")
+
+
+def keep_one(df: DataFrame, key: str, text: str, shingle: int = 3, distance: int = 2) -> DataFrame:
+    """Of each group of near copies the row with the smallest key, with the columns of df.
+
+    Rows whose fingerprints (over `shingle` words) hang together within `distance` are candidates; two of them are linked where their
+    sets of WORDS words in a row are similar by PARTS / WHOLE or more, and groups are the components of these links. Texts with
+    equal sets are linked everywhere.
+    """
+    rows = cut(_sketches(df, key, text, shingle), "sketches")
+    stars = components(links(cut(rows.select("fp").distinct(), "distinct"), distance))
+    pairs = rows.select("fp", "same").distinct()
+    member = cut(pairs.join(stars, pairs["fp"] == stars["node"], "left").select(F.coalesce("root", "fp").alias("root"), "same").distinct(), "candidates")
+    many = member.join(member.groupBy("root").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "root")
+    # nulls last: of equal keys the least text
+    who = F.min(F.struct(F.col("key").isNull().alias("none"), "key", F.col("id").isNull().alias("blank"), "id")).alias("who")
+    first = cut(rows.groupBy("same").agg(who), "firsts")
+    wanted = many.join(first, "same").select("root", "n", "same", F.col("who.key").alias("__key"), F.col("who.id").alias("__id"))
+    texts = df.select(df[key].alias("__k"), F.sha2(df[text], 256).alias("__i"), df[text].alias("text"))
+    here = texts.join(wanted, texts["__k"].eqNullSafe(wanted["__key"]) & texts["__i"].eqNullSafe(wanted["__id"]))
+    groups = components(similar_links(here.dropDuplicates(["root", "same"])))
+    named = first.join(groups, first["same"] == groups["node"], "left").select(F.coalesce(groups["root"], first["same"]).alias("group"), "who")
+    stay = named.groupBy("group").agg(F.min("who").alias("who")).select(F.col("who.key").alias("__key"), F.col("who.id").alias("__id"))
+    out = df.join(stay.select("__key").distinct(), df[key].eqNullSafe(F.col("__key")), "left_semi")
+    return out.dropDuplicates([key])
