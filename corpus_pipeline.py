@@ -23,8 +23,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (similarity of five words in a row of 0.8 or more) the document with the smallest id; rows of one id
-    count as one. Of documents without an id those stay whose group has no id at all."""
+    """Of each group of near copies (similarity of five words in a row of 0.8 or more) one document, that with the smallest id; one
+    without an id stays only if its group has no id at all. Documents that share an id or have none count by their texts."""
     return golay_simhash.keep_one(docs, "doc_id", "text", SHINGLE, DISTANCE)
 
 

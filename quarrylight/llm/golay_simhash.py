@@ -308,7 +308,8 @@ def similar_links(members: DataFrame) -> DataFrame:
 
 
 def keep_one(df: DataFrame, key: str, text: str, shingle: int = 3, distance: int = 2) -> DataFrame:
-    """Of each group of near copies the row with the smallest key, with the columns of df.
+    """One row of each group of near copies, with the columns of df: that of the smallest key (null is the greatest), of equal keys that
+    of the least SHA-256 of the text. Key and text name a row: rows of one key or none with different texts are rows of their own.
 
     Rows whose fingerprints (over `shingle` words) hang together within `distance` are candidates; two of them are linked where their
     sets of WORDS words in a row are similar by PARTS / WHOLE or more, and groups are the components of these links. Texts with
@@ -328,5 +329,7 @@ def keep_one(df: DataFrame, key: str, text: str, shingle: int = 3, distance: int
     groups = components(similar_links(here.dropDuplicates(["root", "same"])))
     named = first.join(groups, first["same"] == groups["node"], "left").select(F.coalesce(groups["root"], first["same"]).alias("group"), "who")
     stay = named.groupBy("group").agg(F.min("who").alias("who")).select(F.col("who.key").alias("__key"), F.col("who.id").alias("__id"))
-    out = df.join(stay.select("__key").distinct(), df[key].eqNullSafe(F.col("__key")), "left_semi")
-    return out.dropDuplicates([key])
+    stay = stay.withColumnRenamed("__id", "__sha")
+    marked = df.withColumn("__id", F.sha2(df[text], 256))
+    out = marked.join(stay, marked[key].eqNullSafe(stay["__key"]) & marked["__id"].eqNullSafe(stay["__sha"]), "left_semi")
+    return out.dropDuplicates([key, "__id"]).drop("__id")

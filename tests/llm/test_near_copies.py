@@ -66,3 +66,13 @@ def test_only_similar_documents_go(spark, monkeypatch):
             assert any(i != j and similar(texts[i], texts[j]) for j in texts), i
         gone = len(texts) - len(left)
         assert gone >= 55 and all(5 * n in left for n in range(30))
+
+
+def test_null_and_repeated_ids(spark):
+    a, b, c, d, e = (" ".join(f"{x}{i}" for i in range(60)) for x in "abcde")
+    rows = [(None, a), (None, b), (None, b), (None, c + " tail"), (7, c), (7, d), (7, d + " tail"), (9, d), (9, e), (7, e + " tail"), (None, None), (None, ""), (11, " ")]
+    out = P.near_dedup(spark, frame(spark, rows), "")
+    got = sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
+    assert out.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+    assert [x for x in got if x[1] and x[1][0] in "abc"] == sorted([(None, a), (None, b), (7, c)], key=str)
+    assert [x[0] for x in got if x[1] and x[1][0] in "de"] == [7, 7] and len(got) == 6 and (11, " ") in got
