@@ -140,8 +140,10 @@ class Search:
             take = (s[i] >= kth[i]) & (s[i] > -np.inf)
             score = np.concatenate([self.score[q.begin + i], s[i][take]])
             found = np.concatenate([self.found[q.begin + i], ids[take]])
-            best = np.lexsort((found, -score))[: self.k]
-            self.score[q.begin + i], self.found[q.begin + i] = score[best], found[best]
+            best = np.lexsort((found, -score))
+            best = best[np.sort(np.unique(found[best], return_index=True)[1])][: self.k]  # an id counts once, with its best vector
+            self.score[q.begin + i], self.found[q.begin + i] = -np.inf, -1
+            self.score[q.begin + i, : len(best)], self.found[q.begin + i, : len(best)] = score[best], found[best]
 
     def results(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(query, found, score) of all that was found."""
@@ -154,14 +156,14 @@ def _matrix(blobs: pd.Series) -> np.ndarray:
 
 
 def _fewest(ids: np.ndarray, blobs: list[bytes], k: int) -> np.ndarray:
-    """Rows to keep: of equal vectors the k + 1 smallest ids (more can't be among anyone's k best)."""
-    seen: dict[bytes, int] = {}
+    """Rows to keep: of equal vectors one row of each of the k + 1 smallest ids (more can't be among anyone's k best)."""
+    seen: dict[bytes, tuple[int, int]] = {}  # ids kept, the last of them
     keep = []
     for i in np.argsort(ids, kind="stable").tolist():
-        n = seen.get(blobs[i], 0)
-        if n <= k:
+        n, last = seen.get(blobs[i], (0, None))
+        if n <= k and ids[i] != last:
             keep.append(i)
-            seen[blobs[i]] = n + 1
+            seen[blobs[i]] = n + 1, ids[i]
     return np.array(keep, np.int64)
 
 
@@ -171,7 +173,8 @@ def top_k(df: DataFrame, key: str, vector: str, is_query: str, k: int = 5, scale
 
     Vectors that are null, empty, or hold null or non-finite components take no part; vectors meet only those of their own
     length. Keys must be whole numbers, null keys take no part; rows of one key and the query's own key count as the query's own.
-    Repeated vectors and an empty table will do.
+    Where a key has several vectors, the score of two keys is the largest of their pairs. Repeated rows and vectors and an empty
+    table will do.
     """
 
     def valid(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,7 +190,8 @@ def top_k(df: DataFrame, key: str, vector: str, is_query: str, k: int = 5, scale
             yield pa.record_batch([pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int32(), pa.binary(), pa.bool_()))], names=["id", "dim", "v", "q"])
 
     rows = df.select(F.col(key).cast("long").alias("id"), F.col(vector).alias("v"), F.expr(is_query).alias("q"))
-    rows = cut(rows.mapInArrow(valid, "id long, dim int, v binary, q boolean"), "vectors")
+    rows = rows.mapInArrow(valid, "id long, dim int, v binary, q boolean")
+    rows = cut(rows.groupBy("id", "dim", "v").agg(F.max("q").alias("q")), "vectors")  # repeated rows say nothing more
     n = rows.count()
     n_pivots = max(1, min(PIVOTS, n // PER_PIVOT))
     sample = rows.select("dim", "v").orderBy(F.xxhash64("id"), "v").limit(n_pivots).toPandas()
@@ -247,7 +251,8 @@ def top_k(df: DataFrame, key: str, vector: str, is_query: str, k: int = 5, scale
     by, hits = ["dim", "cell", "part"], "query_id long, vec_id long, score long"
     home = packed.select("dim", "cell", F.lit(0).alias("part"), "ids", "vs", F.lit(b"").alias("floor"))
     first = cut(home.groupBy(*by).cogroup(data.filter("part = 0").groupBy(*by)).applyInPandas(search, hits), "home")
-    kth = first.groupBy("query_id").agg(F.sort_array(F.collect_list("score"), asc=False).alias("s")).select("query_id", F.get("s", k - 1).alias("kth"))
+    once = lambda h: h.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))  # noqa: E731  (an id may have several vectors)
+    kth = once(first).groupBy("query_id").agg(F.sort_array(F.collect_list("score"), asc=False).alias("s")).select("query_id", F.get("s", k - 1).alias("kth"))
 
     queries = placed.filter("q").mapInArrow(lambda it: parts(it, GROUP), shape).join(kth, F.col("id") == F.col("query_id"), "left").select(*by, "id", "v", "kth")
 
@@ -269,5 +274,5 @@ def top_k(df: DataFrame, key: str, vector: str, is_query: str, k: int = 5, scale
 
     away = queries.groupBy(*by).applyInPandas(send, "dim int, cell int, part int, ids binary, vs binary, floor binary")
     rest = away.groupBy(*by).cogroup(data.groupBy(*by)).applyInPandas(search, hits)
-    best = first.unionByName(rest).groupBy("query_id").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), "vec_id"))), 1, k).alias("b"))
+    best = once(first.unionByName(rest)).groupBy("query_id").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), "vec_id"))), 1, k).alias("b"))
     return best.select("query_id", F.posexplode("b").alias("rank", "b")).select("query_id", (F.col("rank") + 1).alias("rank"), F.col("b.vec_id").alias("vec_id"), (-F.col("b.s")).alias("score"))

@@ -71,3 +71,22 @@ def test_whole_table_and_empty(spark):
     got = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in QUERIES["op3_cover_tree"](spark, "/root/testdata/sf0.001").collect()}
     assert got == slow([(r.vec_id, r.embedding) for r in df.collect()], 5)
     assert C.top_k(df.limit(0), "vec_id", "embedding", "vec_id % 50 = 0").count() == 0
+
+
+@pytest.mark.parametrize("block", [C.BLOCK, 40])
+def test_repeated_rows_and_keys(spark, monkeypatch, block):
+    monkeypatch.setattr(C, "BLOCK", block)
+    monkeypatch.setattr(C, "PER_PIVOT", 50)
+    rng = random.Random(6)
+    vectors = {i: [[rng.randint(-4, 4) / 4 for _ in range(8)]] for i in range(150)}
+    vectors[50] += [[rng.randint(-4, 4) / 4 for _ in range(8)]]
+    vectors[7] += vectors[0] + [[2.0] * 8]
+    vectors[149] = vectors[100]
+    rows = [(i, x) for i, xs in vectors.items() for x in xs] * 2 + [(100, vectors[100][0])] * 6
+    want = {}
+    for q in (0, 50, 100):
+        best = {i: max(sum(math.floor(256 * a) * math.floor(256 * b) for a, b in zip(x, y)) for x in vectors[q] for y in ys) for i, ys in vectors.items() if i != q}
+        want |= {(q, n + 1): (i, s) for n, (i, s) in enumerate(sorted(best.items(), key=lambda x: (-x[1], x[0]))[:5])}
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
+    got = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in C.top_k(df, "vec_id", "embedding", "vec_id % 50 = 0").collect()}
+    assert got == want
