@@ -32,9 +32,10 @@ from .common import cut
 SEED = 42
 #: Generator polynomial of the (23, 12) Golay code: x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1.
 GENERATOR = 0b110001110101
-#: Near copies: sets of so many words in a row with a similarity of so many parts in so many; sets in a block of a large component.
+#: Near copies: sets of so many words in a row with a similarity of so many parts in so many; sets in a block of a large component, and
+#: about how many of its sets meet all of its blocks.
 WORDS, PARTS, WHOLE = 5, 4, 5
-BLOCK = 256
+BLOCK, HUBS = 256, 16
 
 
 def _remainder(v: int) -> int:
@@ -279,41 +280,86 @@ def _sketches(df: DataFrame, key: str, text: str, shingle: int) -> DataFrame:
     return df.select(df[key].alias("key"), F.sha2(df[text], 256).alias("id"), df[text].alias("text")).mapInArrow(run, f"key {kind}, id string, fp long, same binary")
 
 
-def similar_links(members: DataFrame) -> DataFrame:
-    """(a, b): links that connect all similar sets within one root. members: root, n (members of the root), same, text.
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(root, n, same, text) -> (root, n, same, s): the text's set of shingles, 8 bytes each."""
+    for b in batches:
+        s = [shingle_set((x.as_py() or "").encode("utf-8", "surrogatepass")).tobytes() for x in b.column(3)]
+        yield pa.record_batch([*b.columns[:3], pa.array(s, pa.binary())], names=["root", "n", "same", "s"])
 
-    A root of more than BLOCK members is cut into blocks, and each pair of blocks is compared by itself: no task holds more than
-    some two blocks, but comparisons grow with the square of a root's different sets.
-    """
+
+def _links_of(p: pd.DataFrame) -> pd.DataFrame:
+    same = p["same"].tolist()
+    found = similar_forest([np.frombuffer(x, np.uint64) for x in p["s"]])
+    return pd.DataFrame([(same[i], same[j]) for i, j in found], columns=["a", "b"])
+
+
+_SET = "root long, i int, j int, same binary, s binary"
+
+
+def _dealt(rows: DataFrame, places) -> DataFrame:
+    """A copy of each row of `rows` (root, same, s, more) for each (i, j) that places(own number, *more) gives, compared by (root, i, j)."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for root, n, same, text in zip(*(c.to_pylist() for c in b.columns)):
-                blocks = -(-n // BLOCK)
-                own = int.from_bytes(same[:8], "little") % blocks
-                to = [(min(own, x), max(own, x)) for x in range(blocks) if x != own] or [(0, 0)]
-                s = shingle_set((text or "").encode("utf-8", "surrogatepass")).tobytes()
+            for root, same, s, *more in zip(*(c.to_pylist() for c in b.columns)):
+                to = places(int.from_bytes(same[:8], "little"), *more)
                 for at in range(0, len(to), 64):
                     part = to[at : at + 64]
                     cols = [pa.array([root] * len(part), pa.int64()), pa.array([x for x, _ in part], pa.int32()), pa.array([y for _, y in part], pa.int32()), pa.array([same] * len(part), pa.binary()), pa.array([s] * len(part), pa.binary())]
                     yield pa.record_batch(cols, names=["root", "i", "j", "same", "s"])
 
-    def compare(p: pd.DataFrame) -> pd.DataFrame:
-        same = p["same"].tolist()
-        found = similar_forest([np.frombuffer(x, np.uint64) for x in p["s"]])
-        return pd.DataFrame([(same[i], same[j]) for i, j in found], columns=["a", "b"])
+    return rows.mapInArrow(deal, _SET).groupBy("root", "i", "j").applyInPandas(_links_of, "a binary, b binary")
 
-    dealt = members.select("root", "n", "same", "text").mapInArrow(deal, "root long, i int, j int, same binary, s binary")
-    return dealt.groupBy("root", "i", "j").applyInPandas(compare, "a binary, b binary")
+
+def similar_links(members: DataFrame) -> DataFrame:
+    """(a, b): links that connect all similar sets within one root. members: root, n (members of the root), same, s (the set).
+
+    A root of up to BLOCK members is compared as a whole. A larger one is cut into blocks, and each is compared together with about HUBS
+    members of the root (hubs, picked by their hashes): what hangs together around a hub, as the copies of one document do, is then
+    linked at a cost in proportion to its members. Only members whose classes are still apart are compared further, by pairs of
+    blocks that hold different classes, so that no link is lost and none is looked for within a class.
+    """
+
+    def first(own: int, n: int) -> list[tuple[int, int]]:
+        blocks = -(-n // BLOCK)
+        if blocks > 1 and (own >> 20) % max(1, n // HUBS) == 0:
+            return [(x, x) for x in range(blocks)]
+        return [(own % blocks,) * 2]
+
+    near = cut(_dealt(members.select("root", "same", "s", "n"), first), "near")
+    large = members.filter(F.col("n") > BLOCK)
+    if large.isEmpty():
+        return near
+    stars = components(near)
+    classed = large.join(stars, large["same"] == stars["node"], "left").select(large["root"], "same", "s", F.coalesce(stars["root"], large["same"]).alias("class"))
+    sizes = cut(classed.groupBy("root", "class").agg(F.count(F.lit(1)).alias("c")), "classes")
+    # a class of BLOCK members or more has blocks of its own, the others share some: no list has more than a root's blocks
+    big = F.collect_list(F.when(F.col("c") >= BLOCK, F.struct("class", F.ceil(F.col("c") / BLOCK).cast("int").alias("m"))))
+    plan = sizes.groupBy("root").agg(F.count(F.lit(1)).alias("k"), F.coalesce(F.sum(F.when(F.col("c") < BLOCK, F.col("c"))), F.lit(0)).alias("rest"), F.array_sort(big).alias("big")).filter("k > 1")
+    rest = F.ceil(F.col("rest") / BLOCK).cast("int")
+    before = F.aggregate(F.filter("big", lambda x: x["class"] < F.col("class")), F.lit(0), lambda t, x: t + x["m"])
+    own = F.get(F.filter("big", lambda x: x["class"] == F.col("class")), 0)["m"]
+    total = F.aggregate("big", F.lit(0), lambda t, x: t + x["m"])
+    apart = classed.join(plan, "root").select("root", "same", "s", F.when(own.isNotNull(), rest + before).alias("lo"), own.alias("m"), rest.alias("shared"), (rest + total).alias("all"))
+
+    def again(number: int, lo: int | None, m: int | None, shared: int, blocks: int) -> list[tuple[int, int]]:
+        if m is None:  # shares its block with other small classes
+            at = number % shared
+            return [(min(at, x), max(at, x)) for x in range(blocks)]
+        at = lo + number % m
+        return [(min(at, x), max(at, x)) for x in range(blocks) if not lo <= x < lo + m]
+
+    return near.unionByName(_dealt(apart, again))
 
 
 def keep_one(df: DataFrame, key: str, text: str, shingle: int = 3, distance: int = 2) -> DataFrame:
     """One row of each group of near copies, with the columns of df: that of the smallest key (null is the greatest), of equal keys that
-    of the least SHA-256 of the text. Key and text name a row: rows of one key or none with different texts are rows of their own.
+    of the least SHA-256 of the text. Key and text name a row: rows of one key or none with different texts are rows of their own, and
+    of rows that share both one stays.
 
     Rows whose fingerprints (over `shingle` words) hang together within `distance` are candidates; two of them are linked where their
     sets of WORDS words in a row are similar by PARTS / WHOLE or more, and groups are the components of these links. Texts with
-    equal sets are linked everywhere.
+    equal sets are linked everywhere; an empty table gives no rows.
     """
     rows = cut(_sketches(df, key, text, shingle), "sketches")
     stars = components(links(cut(rows.select("fp").distinct(), "distinct"), distance))
@@ -325,11 +371,20 @@ def keep_one(df: DataFrame, key: str, text: str, shingle: int = 3, distance: int
     first = cut(rows.groupBy("same").agg(who), "firsts")
     wanted = many.join(first, "same").select("root", "n", "same", F.col("who.key").alias("__key"), F.col("who.id").alias("__id"))
     texts = df.select(df[key].alias("__k"), F.sha2(df[text], 256).alias("__i"), df[text].alias("text"))
-    here = texts.join(wanted, texts["__k"].eqNullSafe(wanted["__key"]) & texts["__i"].eqNullSafe(wanted["__id"]))
-    groups = components(similar_links(here.dropDuplicates(["root", "same"])))
-    named = first.join(groups, first["same"] == groups["node"], "left").select(F.coalesce(groups["root"], first["same"]).alias("group"), "who")
-    stay = named.groupBy("group").agg(F.min("who").alias("who")).select(F.col("who.key").alias("__key"), F.col("who.id").alias("__id"))
-    stay = stay.withColumnRenamed("__id", "__sha")
+    here = texts.join(wanted, texts["__k"].eqNullSafe(wanted["__key"]) & texts["__i"].eqNullSafe(wanted["__id"])).select("root", "n", "same", "text")
+    sets = cut(here.mapInArrow(_sets, "root long, n long, same binary, s binary").dropDuplicates(["root", "same"]), "sets")
+    groups = components(similar_links(sets))
+    named = first.join(groups, first["same"] == groups["node"], "left").select("same", F.coalesce(groups["root"], first["same"]).alias("group"), "who")
+    best = named.join(named.groupBy("group").agg(F.min("who").alias("best")), "group").select("same", "best")
+    times = rows.groupBy("key", "id", "same").agg((F.count(F.lit(1)) > 1).alias("again"))
+    judged = times.join(best, "same").select(F.col("key").alias("__key"), F.col("id").alias("__sha"), "again", (F.col("key").eqNullSafe(F.col("best.key")) & F.col("id").eqNullSafe(F.col("best.id"))).alias("stays"))
+    # what goes is a small part, and few rows share key and text: neither moves the other texts
+    judged = cut(judged.filter("again or not stays"), "judged")
     marked = df.withColumn("__id", F.sha2(df[text], 256))
-    out = marked.join(stay, marked[key].eqNullSafe(stay["__key"]) & marked["__id"].eqNullSafe(stay["__sha"]), "left_semi")
-    return out.dropDuplicates([key, "__id"]).drop("__id")
+
+    def at(t: DataFrame):
+        return marked[key].eqNullSafe(t["__key"]) & marked["__id"].eqNullSafe(t["__sha"])
+
+    repeated = judged.filter("again and stays")
+    out = marked.join(judged, at(judged), "left_anti")
+    return out.unionByName(marked.join(repeated, at(repeated), "left_semi").dropDuplicates([key, "__id"])).drop("__id")

@@ -135,7 +135,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str, text: str, grade: Column
     """Fit on labelled documents: all of them, or the `sample` rows of the smallest key hashes where there are more (this bounds the
     fit's memory, about 2 kB a row). Grades are whole numbers from 0; null keys, texts and grades and grades out of range take no part.
 
-    A key that is labelled more than once counts with its lowest grade.
+    A key (of any type) that is labelled more than once counts with its lowest grade.
     """
     few = labels.select(F.col(key).alias("key"), grade.cast("int").alias("grade")).filter(F.col("key").isNotNull() & F.col("grade").between(0, n_grades - 1))
     few = few.groupBy("key").agg(F.min("grade").alias("grade")).orderBy(F.xxhash64("key"), "key").limit(sample)
@@ -145,11 +145,12 @@ def train(docs: DataFrame, labels: DataFrame, key: str, text: str, grade: Column
         for b in batches:
             got = [text_features(x.as_py()) for x in b.column(1)]
             yield pa.record_batch(
-                [b.column(0).cast(pa.int64()), b.column(2), pa.array([g[0].astype(np.int32).tobytes() for g in got], pa.binary()), pa.array([g[1].astype(np.float32).tobytes() for g in got], pa.binary()), pa.array([g[2] for g in got], pa.float64())],
+                [b.column(0), b.column(2), pa.array([g[0].astype(np.int32).tobytes() for g in got], pa.binary()), pa.array([g[1].astype(np.float32).tobytes() for g in got], pa.binary()), pa.array([g[2] for g in got], pa.float64())],
                 names=["key", "grade", "col", "val", "rec"],
             )
 
-    got = rows.mapInArrow(run, "key long, grade int, col binary, val binary, rec double").toPandas().sort_values("key", kind="stable")
+    kind = docs.schema[key].dataType.simpleString()
+    got = rows.mapInArrow(run, f"key {kind}, grade int, col binary, val binary, rec double").toPandas().sort_values(["key", "grade", "rec"], kind="stable")
     feats = [(np.frombuffer(c, np.int32).astype(np.int64), np.frombuffer(v, np.float32).astype(np.float64), r) for c, v, r in zip(got["col"], got["val"], got["rec"])]
     return fit(feats, got["grade"].to_numpy(np.int64), n_grades)
 
@@ -173,14 +174,16 @@ def grade_documents(df: DataFrame, key: str, text: str, model: Model) -> DataFra
 
 
 def select_documents(df: DataFrame, text: str, model: Model, grade: int, least: float) -> DataFrame:
-    """The rows of df, with its columns, whose P(grade >= grade) is at least `least`."""
+    """The rows of df, with its columns, whose P(grade >= grade) is at least `least`. Rows without a word (null and empty texts) say
+    nothing of their quality and stay; keys take no part."""
     small = Model(model.weights.astype(np.float32), model.recurrence, model.thresholds)
     at = df.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(small)
         for b in batches:
-            keep = small.tails(np.array([scorer.score(x.as_py()) for x in b.column(at)]))[:, grade - 1] >= least
-            yield b.filter(pa.array(keep))
+            texts = [x.as_py() for x in b.column(at)]
+            keep = small.tails(np.array([scorer.score(t) for t in texts]))[:, grade - 1] >= least
+            yield b.filter(pa.array(keep | np.array([not (t or "").split() for t in texts], bool)))
 
     return df.mapInArrow(run, df.schema)

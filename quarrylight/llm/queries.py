@@ -65,7 +65,7 @@ def language_labels(docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    out = mixing.mix(docs, "doc_id", "text", language_labels(docs, sf_dir), TARGETS)
+    out = mixing.mix(docs, "doc_id", "text", language_labels(docs, sf_dir), TARGETS, low=0.0)
     return out.select("doc_id", "tokens", *(F.col("p")[i].alias(f"p_{d}") for i, d in enumerate(TARGETS)), "rate", "copies")
 
 

@@ -395,14 +395,29 @@ def spans_of(starts: np.ndarray, ends: np.ndarray) -> list[tuple[int, int]]:
     return [(s, e) for s, e in out]
 
 
-def remove_repeats(df: DataFrame, key: str, text: str, carry: list[str] = (), window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+def whole_characters(raw: bytes, spans: list[tuple[int, int]]) -> bytes:
+    """What is left of UTF-8 bytes without the spans and without the characters of which a span takes a part."""
+    keep, at = [], 0
+    for s, e in spans:
+        while s > at and raw[s] & 0xC0 == 0x80:
+            s -= 1
+        keep.append(raw[at:s])
+        while e < len(raw) and raw[e] & 0xC0 == 0x80:
+            e += 1
+        at = e
+    keep.append(raw[at:])
+    return b"".join(keep)
+
+
+def remove_repeats(df: DataFrame, key: str, text: str, carry: list[str] = (), window: int = WINDOW, gram: int = GRAM, characters: bool = False) -> DataFrame:
     """For each row: key, n_bytes, n_removed, n_spans, kept_sha256, spans (array of start, end in UTF-8 bytes), kept (the
-    bytes that stay), then the carried columns.
+    bytes that stay), then the carried columns but those that have the name of one of these.
 
     A byte goes if it lies in a string of `window` bytes that also starts earlier: in a row of smaller key, or in the
     same row further ahead. The key must be a whole number; null keys come last. Rows of one key and different texts
     come in the order of a hash of the text; rows of one key and text are one document and share a result. Null and empty texts, and
-    those shorter than a window, lose nothing. window must exceed gram, a power of two. Nothing is sampled or capped: the
+    those shorter than a window, lose nothing. With characters, kept leaves out the characters of which a part goes (the other columns
+    stay as they are) and is null for null texts. window must exceed gram, a power of two. Nothing is sampled or capped: the
     list of hot keys only says how windows are dealt out.
     """
     if gram & (gram - 1) or not 8 <= gram < window or window - gram + 1 >= BENDS:
@@ -450,7 +465,8 @@ def remove_repeats(df: DataFrame, key: str, text: str, carry: list[str] = (), wi
                 hashes.append(xxhash.xxh3_64_intdigest(raw))
             ids = np.array([NULL_ID if x is None else x for x in raw_ids], np.int64)
             hashes = np.array(hashes, np.uint64)
-            rest = [pickle.dumps((x, *v), 5) for x, v in zip(raw_ids, zip(*(b.column(2 + i).to_pylist() for i in range(len(carry)))) if carry else [()] * len(ids))]
+            more = zip(*(b.column(2 + i).to_pylist() for i in range(len(carry)))) if carry else [()] * len(ids)
+            rest = [pickle.dumps((x, t.is_valid, *v), 5) for x, t, v in zip(raw_ids, b.column(1), more)]
             yield pa.record_batch([pa.array(_doc_bucket(ids, hashes, n_buckets)), pa.array(ids), pa.array(hashes.view(np.int64)), pa.array(texts, pa.binary()), pa.array(rest, pa.binary())], names=["bucket", "id", "hash", "text", "rest"])
 
     def docs(with_rest: bool) -> DataFrame:
@@ -484,10 +500,13 @@ def remove_repeats(df: DataFrame, key: str, text: str, carry: list[str] = (), wi
                 at = e
             keep.append(raw[at:])
             kept = b"".join(keep)
-            own, *other = pickle.loads(rest)
-            rows.append((own, len(raw), len(raw) - len(kept), len(found), hashlib.sha256(kept).hexdigest(), [{"start": s, "end": e} for s, e in found], kept, *other))
+            n_kept, digest = len(kept), hashlib.sha256(kept).hexdigest()
+            own, given, *other = pickle.loads(rest)
+            if characters:
+                kept = whole_characters(raw, found) if given else None
+            rows.append((own, len(raw), len(raw) - n_kept, len(found), digest, [{"start": s, "end": e} for s, e in found], kept, *other))
         return pd.DataFrame(rows, columns=[*names, *(f"c{i}" for i in range(len(carry)))])
 
     schema = "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:long,end:long>>, kept binary" + "".join(f", c{i} {f.dataType.simpleString()}" for i, f in enumerate(carried.fields))
     out = docs(True).groupBy("bucket").cogroup(marks.groupBy("bucket")).applyInPandas(finish, schema)
-    return out.select(F.col("id").alias(key), *names[1:], *(F.col(f"c{i}").alias(c) for i, c in enumerate(carry) if c not in (key, *names)))
+    return out.select(F.col("id").alias(key), *names[1:], *(F.col(f"c{i}").alias(c) for i, c in enumerate(carry) if c not in (key, *names[1:])))
