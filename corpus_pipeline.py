@@ -29,19 +29,22 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without passages of 100 bytes that stand earlier; characters that a cut leaves in part go too. Nothing else changes, and
-    documents of which nothing is left stay with an empty text."""
-    others = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
-    out = suffix_dedup.remove_repeats(docs, "doc_id", "text", carry=others)
-    out = out.withColumn("text", F.regexp_replace(F.make_valid_utf8(F.col("kept").cast("string")), "�", ""))
-    return out.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    """Texts without passages of 100 bytes that stand earlier; a character of which a part goes goes whole. Nothing else changes:
+    texts without such passages stay as they are, null ones too, and documents of which nothing is left stay with an empty text."""
+    other = {c: f"__{i}" for i, c in enumerate(docs.columns) if c not in ("doc_id", "text")}
+    own = docs.select("doc_id", "text", *(F.col(c).alias(a) for c, a in other.items()))
+    out = suffix_dedup.remove_repeats(own, "doc_id", "text", carry=list(other.values()), characters=True)
+    text = F.col("kept").cast("string")
+    n = F.when(F.col("n_removed") > 0, F.length(text).cast("long")).otherwise(F.col(other["n_chars"]))
+    new = {"doc_id": F.col("doc_id"), "text": text, **{c: F.col(a) for c, a in other.items()}, "n_chars": n}
+    return out.select(*(new[c].alias(c) for c in docs.columns))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as its rate says, at least once: the mix gains by repeating what is short, no document is lost."""
-    rates = mixing.mix(docs, "doc_id", "text", queries.language_labels(docs, sf_dir), queries.TARGETS)
-    rates = rates.select(F.col("doc_id").alias("__id"), F.col("copies").alias("__copies"))
-    out = docs.join(rates, docs["doc_id"].eqNullSafe(rates["__id"]))
+    rates = mixing.mix(docs, "doc_id", "text", queries.language_labels(docs, sf_dir), queries.TARGETS, low=1.0)
+    rates = rates.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), F.col("copies").alias("__copies"))
+    out = docs.join(rates, docs["doc_id"].eqNullSafe(rates["__id"]) & (mixing.text_hash(docs["text"]) == rates["__hash"]))
     return out.withColumn("__copy", F.explode(F.array_repeat(F.lit(0), F.col("__copies")))).select(*docs.columns)
 
 
