@@ -24,7 +24,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .common import cut
@@ -207,8 +207,9 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.filter("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").unionByName(low.select("a", F.col("m").alias("b")))
-        e = cut(small.distinct(), "stars")
-        state = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        seen = Observation()  # counted while it is written
+        e = cut(small.distinct().observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("sum")), "stars")
+        state = seen.get
         if state == before:
             return e.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(e.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
         before = state
@@ -287,17 +288,32 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([*b.columns[:3], pa.array(s, pa.binary())], names=["root", "n", "same", "s"])
 
 
-def _links_of(p: pd.DataFrame) -> pd.DataFrame:
+def _classes_of(p: pd.DataFrame) -> pd.DataFrame:
+    """(root, a, b): each set that isn't the least of its class in this group, with that least one."""
     same = p["same"].tolist()
-    found = similar_forest([np.frombuffer(x, np.uint64) for x in p["s"]])
-    return pd.DataFrame([(same[i], same[j]) for i, j in found], columns=["a", "b"])
+    least = list(range(len(same)))
+
+    def find(i: int) -> int:
+        while least[i] != i:
+            least[i] = least[least[i]]
+            i = least[i]
+        return i
+
+    for i, j in similar_forest([np.frombuffer(x, np.uint64) for x in p["s"]]):
+        i, j = find(i), find(j)
+        if i != j:
+            i, j = sorted((i, j), key=same.__getitem__)
+            least[j] = i
+    out = [(same[i], same[find(i)]) for i in range(len(same)) if find(i) != i]
+    return pd.DataFrame(out, columns=["a", "b"]).assign(root=p["root"].iloc[0])[["root", "a", "b"]].astype({"root": "int64"})
 
 
 _SET = "root long, i int, j int, same binary, s binary"
 
 
 def _dealt(rows: DataFrame, places) -> DataFrame:
-    """A copy of each row of `rows` (root, same, s, more) for each (i, j) that places(own number, *more) gives, compared by (root, i, j)."""
+    """A copy of each row of `rows` (root, same, s, more) for each (i, j) that places(own number, *more) gives; (root, a, b) of the
+    classes within each (root, i, j)."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -308,11 +324,12 @@ def _dealt(rows: DataFrame, places) -> DataFrame:
                     cols = [pa.array([root] * len(part), pa.int64()), pa.array([x for x, _ in part], pa.int32()), pa.array([y for _, y in part], pa.int32()), pa.array([same] * len(part), pa.binary()), pa.array([s] * len(part), pa.binary())]
                     yield pa.record_batch(cols, names=["root", "i", "j", "same", "s"])
 
-    return rows.mapInArrow(deal, _SET).groupBy("root", "i", "j").applyInPandas(_links_of, "a binary, b binary")
+    return rows.mapInArrow(deal, _SET).groupBy("root", "i", "j").applyInPandas(_classes_of, "root long, a binary, b binary")
 
 
-def similar_links(members: DataFrame) -> DataFrame:
-    """(a, b): links that connect all similar sets within one root. members: root, n (members of the root), same, s (the set).
+def similar_classes(members: DataFrame) -> DataFrame:
+    """(node, root): the least set of each class of similar sets, for all sets that aren't alone. members: root, n (members of the root),
+    same, s (the set); sets are linked within one root only.
 
     A root of up to BLOCK members is compared as a whole. A larger one is cut into blocks, and each is compared together with about HUBS
     members of the root (hubs, picked by their hashes): what hangs together around a hub, as the copies of one document do, is then
@@ -328,10 +345,21 @@ def similar_links(members: DataFrame) -> DataFrame:
 
     near = cut(_dealt(members.select("root", "same", "s", "n"), first), "near")
     large = members.filter(F.col("n") > BLOCK)
-    if large.isEmpty():
-        return near
-    stars = components(near)
-    classed = large.join(stars, large["same"] == stars["node"], "left").select(large["root"], "same", "s", F.coalesce(stars["root"], large["same"]).alias("class"))
+    roots = large.select("root").distinct()
+    done = near.join(roots, "root", "left_anti")
+    if not large.isEmpty():
+        linked = near.join(roots, "root", "left_semi")
+        more = cut(_dealt(_apart(large, components(linked)), _between), "apart")
+        linked = linked.unionByName(more)
+        stars = components(linked)
+        done = done.select("a", "b").unionByName(stars.filter("node <> root").toDF("a", "b"))
+    return done.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(done.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
+
+
+def _apart(large: DataFrame, stars: DataFrame) -> DataFrame:
+    """Members of roots with several classes, and how their root is cut: root, same, s, lo and m (first block and number of blocks of its
+    class, null for small classes), shared (blocks of the small classes), all (blocks of the root)."""
+    classed = large.join(stars.select("node", F.col("root").alias("star")), large["same"] == F.col("node"), "left").select("root", "same", "s", F.coalesce("star", "same").alias("class"))
     sizes = cut(classed.groupBy("root", "class").agg(F.count(F.lit(1)).alias("c")), "classes")
     # a class of BLOCK members or more has blocks of its own, the others share some: no list has more than a root's blocks
     big = F.collect_list(F.when(F.col("c") >= BLOCK, F.struct("class", F.ceil(F.col("c") / BLOCK).cast("int").alias("m"))))
@@ -340,16 +368,16 @@ def similar_links(members: DataFrame) -> DataFrame:
     before = F.aggregate(F.filter("big", lambda x: x["class"] < F.col("class")), F.lit(0), lambda t, x: t + x["m"])
     own = F.get(F.filter("big", lambda x: x["class"] == F.col("class")), 0)["m"]
     total = F.aggregate("big", F.lit(0), lambda t, x: t + x["m"])
-    apart = classed.join(plan, "root").select("root", "same", "s", F.when(own.isNotNull(), rest + before).alias("lo"), own.alias("m"), rest.alias("shared"), (rest + total).alias("all"))
+    return classed.join(plan, "root").select("root", "same", "s", F.when(own.isNotNull(), rest + before).alias("lo"), own.alias("m"), rest.alias("shared"), (rest + total).alias("all"))
 
-    def again(number: int, lo: int | None, m: int | None, shared: int, blocks: int) -> list[tuple[int, int]]:
-        if m is None:  # shares its block with other small classes
-            at = number % shared
-            return [(min(at, x), max(at, x)) for x in range(blocks)]
-        at = lo + number % m
-        return [(min(at, x), max(at, x)) for x in range(blocks) if not lo <= x < lo + m]
 
-    return near.unionByName(_dealt(apart, again))
+def _between(number: int, lo: int | None, m: int | None, shared: int, blocks: int) -> list[tuple[int, int]]:
+    """Pairs of blocks in which a member meets all that aren't of its class."""
+    if m is None:  # shares its block with other small classes
+        at = number % shared
+        return [(min(at, x), max(at, x)) for x in range(blocks)]
+    at = lo + number % m
+    return [(min(at, x), max(at, x)) for x in range(blocks) if not lo <= x < lo + m]
 
 
 def keep_one(df: DataFrame, key: str, text: str, shingle: int = 3, distance: int = 2) -> DataFrame:
@@ -373,7 +401,7 @@ def keep_one(df: DataFrame, key: str, text: str, shingle: int = 3, distance: int
     texts = df.select(df[key].alias("__k"), F.sha2(df[text], 256).alias("__i"), df[text].alias("text"))
     here = texts.join(wanted, texts["__k"].eqNullSafe(wanted["__key"]) & texts["__i"].eqNullSafe(wanted["__id"])).select("root", "n", "same", "text")
     sets = cut(here.mapInArrow(_sets, "root long, n long, same binary, s binary").dropDuplicates(["root", "same"]), "sets")
-    groups = components(similar_links(sets))
+    groups = similar_classes(sets)
     named = first.join(groups, first["same"] == groups["node"], "left").select("same", F.coalesce(groups["root"], first["same"]).alias("group"), "who")
     best = named.join(named.groupBy("group").agg(F.min("who").alias("best")), "group").select("same", "best")
     times = rows.groupBy("key", "id", "same").agg((F.count(F.lit(1)) > 1).alias("again"))

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Hash buckets; labelled rows that the fit takes at most (those of the smallest key hashes); words in a worker's cache.
-DIMS, SAMPLE, CACHE = 1 << 18, 8_000, 400_000
+DIMS, SAMPLE, CACHE = 1 << 18, 8_000, 150_000
 #: The number of distinct words to this power divides sums over words.
 SCALE = 0.5
 _STRIP = ".,;:!?*$%&#|\"'()[]-"

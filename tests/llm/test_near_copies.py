@@ -92,7 +92,7 @@ def test_blocks_lose_no_link(spark, monkeypatch):
             sets.append(np.unique(base.astype(np.uint64)))
     rows = [(1, len(sets), bytearray(i.to_bytes(2, "big") * 8), bytearray(sets[i].tobytes())) for i in rng.permutation(len(sets)).tolist()]
     members = spark.createDataFrame(rows, "root long, n long, same binary, s binary").repartition(3)
-    root = {r.node[:2]: bytes(r.root)[:2] for r in G.components(G.similar_links(members)).collect()}
+    root = {r.node[:2]: bytes(r.root)[:2] for r in G.similar_classes(members).collect()}
     got = [int.from_bytes(root.get(i.to_bytes(2, "big"), i.to_bytes(2, "big")), "big") for i in range(len(sets))]
     want = list(range(len(sets)))
     for i, j in G.similar_forest(sets):
