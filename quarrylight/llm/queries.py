@@ -78,4 +78,10 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_media_columns, op2_quality, op3_cover_tree, op4_packing, op5_suffix_dedup, op6_sharding, op7_simhash, op8_mixing, op9_lm_scoring, op10_token_output)}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op3_cover_tree": """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::HUGEINT) AS e FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+ s AS (SELECT q.vec_id AS query_id, d.vec_id, list_sum(list_transform(list_zip(q.e, d.e), lambda z: z[1] * z[2]))::BIGINT AS score FROM v q JOIN v d ON q.vec_id % 50 = 0 AND q.vec_id <> d.vec_id),
+ r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM s)
+ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5"""
+}

@@ -90,3 +90,38 @@ def test_repeated_rows_and_keys(spark, monkeypatch, block):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
     got = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in C.top_k(df, "vec_id", "embedding", "vec_id % 50 = 0").collect()}
     assert got == want
+
+
+@pytest.mark.parametrize("block", [C.BLOCK, 8])
+def test_large_components(spark, monkeypatch, block):
+    """Doubles of any size: exact as long as components and scores are 64-bit integers, the nearest in range beyond."""
+    monkeypatch.setattr(C, "BLOCK", block)
+    monkeypatch.setattr(C, "PER_PIVOT", 10)
+    rng = random.Random(8)
+    rows = [(0, [1e7, 1.0]), (1, [1e7, 2.0]), (2, [1.0, 1.0]), (50, [-3e12, 7.5]), (51, [1.7e308, 0.0]), (100, [1e14 + 1 / 64, -1e14]), (101, [1e14, 1e14])]
+    rows += [(200 + i, [rng.choice([1, 1e4, 1e8, 1e12]) * rng.uniform(-1, 1), rng.choice([1, 1e4, 1e8]) * rng.uniform(-1, 1)]) for i in range(60)]
+    most = 2**63 - 1
+    whole = {i: [min(max(math.floor(256 * y) if abs(y) < 1e300 else int(y), -most), most) for y in x] for i, x in rows}
+    want = {}
+    for q in (i for i in whole if i % 50 == 0):
+        s = sorted((-min(max(sum(a * b for a, b in zip(whole[q], x)), -most), most), i) for i, x in whole.items() if i != q)
+        want |= {(q, n + 1): (i, -t) for n, (t, i) in enumerate(s[:5])}
+    df = spark.createDataFrame([(i, x, 1, 2, "v") for i, x in rows], "vec_id long, embedding array<double>, score int, dim int, q string").repartition(3)
+    got = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in C.top_k(df, "vec_id", "embedding", "vec_id % 50 = 0").collect()}
+    assert got == want
+    few = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in C.top_k(df.filter("vec_id < 3"), "vec_id", "embedding", "vec_id = 0").collect()}
+    assert few == {(0, 1): (1, 6553600000000131072), (0, 2): (2, 655360065536)}
+
+
+def test_sql(spark):
+    """The registered query beside its SQL."""
+    import duckdb
+
+    from quarrylight.llm import queries
+
+    sf = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW embeddings AS SELECT * FROM '{sf}/embeddings.parquet'")
+    want = con.sql(queries.ORACLES["op3_cover_tree"]).fetchall()
+    got = [(r.query_id, r["rank"], r.vec_id, r.score) for r in queries.op3_cover_tree(spark, sf).collect()]
+    assert sorted(got) == sorted(want)
