@@ -115,27 +115,48 @@ def use_ocr(embedded: Column, ocr: Column) -> Column:
     return (n >= 20) & (n > F.greatest(F.lit(20), 2 * F.length(F.coalesce(embedded, F.lit("")))))
 
 
+#: Elements that are added up one by one behind a sum that is known.
+STRIDE = 64
+
+
+def let(value: Column, body) -> Column:
+    """body(value), with value computed once: what stands in a lambda is computed anew for each element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def before_each(lengths: Column) -> Column:
+    """For each element of an array of whole numbers, the sum of those before it. Sums of strides first, so that the cost stays near the
+    array's length (growing an array inside a fold would copy it at each step)."""
+    add = lambda t, x: t + x
+    sums = lambda v: F.transform(F.sequence(F.lit(0), F.greatest(F.ceil(F.size(v) / STRIDE).cast("int") - 1, F.lit(0))), lambda k: F.aggregate(F.slice(v, k * STRIDE + 1, F.lit(STRIDE)), F.lit(0), add))
+    heads = lambda s: F.transform(s, lambda _, k: F.aggregate(F.slice(s, F.lit(1), k), F.lit(0), add))
+    each = lambda v, h: F.transform(v, lambda _, i: F.get(h, F.floor(i / STRIDE).cast("int")) + F.aggregate(F.slice(v, i - i % STRIDE + 1, i % STRIDE), F.lit(0), add))
+    return let(lengths, lambda v: let(sums(v), lambda s: let(heads(s), lambda h: each(v, h))))
+
+
 def pieces(text: Column, pattern: Column) -> Column:
     """array<struct<piece, start>>: what stands between matches, with code-point offsets from 0."""
-    parts, gaps = F.split(text, pattern, -1), F.transform(F.regexp_extract_all(text, pattern, F.lit(0)), F.length)
-    empty = F.struct(F.array().cast("array<struct<piece:string,start:int>>").alias("out"), F.lit(0).alias("at"))
-    both = F.arrays_zip(parts.alias("p"), gaps.alias("g"))
-    step = lambda a, x: F.struct(F.array_append(a["out"], F.struct(x["p"].alias("piece"), a["at"].alias("start"))).alias("out"), (a["at"] + F.length(x["p"]) + F.coalesce(x["g"], F.lit(0))).alias("at"))
-    return F.aggregate(both, empty, step, lambda a: a["out"])
+    gaps = F.transform(F.regexp_extract_all(text, pattern, F.lit(0)), F.length)
+    found = F.struct(F.split(text, pattern, -1).alias("p"), gaps.alias("g"))
+
+    def put(f: Column) -> Column:
+        steps = F.transform(f["p"], lambda x, i: F.length(x) + F.coalesce(F.get(f["g"], i), F.lit(0)))
+        return let(before_each(steps), lambda at: F.transform(f["p"], lambda x, i: F.struct(x.alias("piece"), F.get(at, i).alias("start"))))
+
+    return let(found, put)
 
 
 def match_offsets(text: Column, pattern: str, ignore_case: bool = True) -> Column:
     """array<struct<text, start, end>> of nonempty matches, in code points."""
     got = find_all(text, pattern, ignore_case)
-    gaps = F.transform(F.split(text, _re(pattern, ignore_case), -1), F.length)
-    empty = F.struct(F.array().cast("array<struct<text:string,start:int,end:int>>").alias("out"), F.lit(0).alias("at"))
-    both = F.filter(F.arrays_zip(gaps.alias("g"), got.alias("m")), lambda x: x["m"].isNotNull())
+    found = F.struct(F.transform(F.split(text, _re(pattern, ignore_case), -1), F.length).alias("g"), got.alias("m"))
 
-    def step(a, x):
-        start = a["at"] + x["g"]
-        return F.struct(F.array_append(a["out"], F.struct(x["m"].alias("text"), start.alias("start"), (start + F.length(x["m"])).alias("end"))).alias("out"), (start + F.length(x["m"])).alias("at"))
+    def put(f: Column) -> Column:
+        steps = F.transform(f["m"], lambda x, i: F.length(x) + F.get(f["g"], i))
+        # a match begins behind the gap before it
+        return let(before_each(steps), lambda at: F.transform(f["m"], lambda x, i: F.struct(x.alias("text"), (F.get(at, i) + F.get(f["g"], i)).alias("start"), (F.get(at, i) + F.get(f["g"], i) + F.length(x)).alias("end"))))
 
-    return F.filter(F.aggregate(both, empty, step, lambda a: a["out"]), lambda x: x["end"] > x["start"])
+    return F.filter(let(found, put), lambda x: x["end"] > x["start"])
 
 
 def filename_metadata(stem: Column, category: Column) -> Column:

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from quarrylight.functions import text as X
 from quarrylight.plans.profile import Profile
 
-from .assertions import none_of, unique_ids
+from .assertions import none_of_any, repeated_ids, unique_ids
+from .lineage import cut
 
 LOCATED, REVIEW = "located_in_cached_page", "locator_needs_review"
 
@@ -31,6 +32,7 @@ def locate(facts: DataFrame, pages: DataFrame) -> DataFrame:
 
 def context_checks(located: DataFrame, profile: Profile) -> DataFrame:
     """located: result of locate(). One row for each fact with fields (field, status, matches) and needs_review."""
+    located = cut(located, "located")
     unique_ids(located, "fact_id")
     none = F.array().cast("array<struct<text:string,start:int,end:int>>")
     fields = []
@@ -61,20 +63,24 @@ def bind_conclusions(conclusions: DataFrame, links: DataFrame, conflicts: DataFr
     """conclusions: conclusion_id, text, claim_type, rationale; links: conclusion_id, fact_id, relation; conflicts: conclusion_id,
     fact_ids, description. Raises on unknown, repeated or unlocated references, missing support, wrong claim types or relations,
     claims without rationale, and conflicts without two distinct bound facts and a description. Nothing is promoted."""
-    unique_ids(conclusions, "conclusion_id")
     blank = lambda c: F.coalesce(F.trim(c), F.lit("")) == ""
-    none_of(conclusions.filter(blank("text")).select("conclusion_id"), "conclusion text is required")
-    none_of(conclusions.filter(~F.coalesce(F.col("claim_type").isin("source_fact", "inference", "recommendation"), F.lit(False))).select("conclusion_id"), "unknown claim type")
-    none_of(conclusions.filter((F.col("claim_type") != "source_fact") & blank("rationale")).select("conclusion_id"), "rationale is required")
-    none_of(links.filter(~F.coalesce(F.col("relation").isin("supports", "contradicts", "context"), F.lit(False))).select("conclusion_id"), "unknown relation")
-    none_of(links.join(facts, "fact_id", "left_anti").select("conclusion_id", "fact_id"), "unknown fact reference")
-    none_of(links.groupBy("conclusion_id", "fact_id").count().filter("count > 1"), "repeated fact reference")
-    none_of(conclusions.join(links.filter("relation = 'supports'"), "conclusion_id", "left_anti").select("conclusion_id"), "a supporting fact is required")
+    named = conclusions.select("conclusion_id", "text", "claim_type", "rationale")
     bound = links.join(facts.select("fact_id", "source_id", "page", "evidence_text"), "fact_id").join(checks.select("fact_id", "verification_status", "locator_status", "needs_review"), "fact_id")
-    none_of(bound.filter(F.col("locator_status") != LOCATED).select("conclusion_id", "fact_id"), "a bound fact isn't located")
+    bound = cut(bound, "bound")
     own = links.groupBy("conclusion_id").agg(F.collect_set("fact_id").alias("bound"))
-    bad = conflicts.join(own, "conclusion_id", "left").filter((F.size("fact_ids") < 2) | (F.size(F.array_distinct("fact_ids")) < F.size("fact_ids")) | (F.size(F.array_except("fact_ids", F.coalesce("bound", F.array().cast("array<string>")))) > 0) | blank("description"))
-    none_of(bad.select("conclusion_id"), "a conflict needs two distinct bound facts and a description")
+    few = (F.size("fact_ids") < 2) | (F.size(F.array_distinct("fact_ids")) < F.size("fact_ids")) | (F.size(F.array_except("fact_ids", F.coalesce("bound", F.array().cast("array<string>")))) > 0)
+    none_of_any(
+        repeated_ids(conclusions, "conclusion_id"),
+        (named.filter(blank("text")).select("conclusion_id"), "conclusion text is required"),
+        (named.filter(~F.coalesce(F.col("claim_type").isin("source_fact", "inference", "recommendation"), F.lit(False))).select("conclusion_id"), "unknown claim type"),
+        (named.filter((F.col("claim_type") != "source_fact") & blank("rationale")).select("conclusion_id"), "rationale is required"),
+        (links.filter(~F.coalesce(F.col("relation").isin("supports", "contradicts", "context"), F.lit(False))).select("conclusion_id"), "unknown relation"),
+        (links.join(facts, "fact_id", "left_anti").select("conclusion_id", "fact_id"), "unknown fact reference"),
+        (links.groupBy("conclusion_id", "fact_id").count().filter("count > 1"), "repeated fact reference"),
+        (named.join(links.filter("relation = 'supports'"), "conclusion_id", "left_anti").select("conclusion_id"), "a supporting fact is required"),
+        (bound.filter(F.col("locator_status") != LOCATED).select("conclusion_id", "fact_id"), "a bound fact isn't located"),
+        (conflicts.join(own, "conclusion_id", "left").filter(few | blank("description")).select("conclusion_id"), "a conflict needs two distinct bound facts and a description"),
+    )
     s, supports = F.col("verification_status"), F.col("relation") == "supports"
     human, agent = F.regexp_like(s, F.lit("^human_verified(_|$)")), F.regexp_like(s, F.lit("^agent_verified(_|$)"))
     state = bound.groupBy("conclusion_id").agg(

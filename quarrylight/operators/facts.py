@@ -5,6 +5,8 @@ Everything is a Column expression over pages (source_id, page, text); no shuffle
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -46,33 +48,42 @@ def fact_candidates(pages: DataFrame, profile: Profile) -> DataFrame:
     Null texts count as empty. Of equal sentences on a page the first stays, sentences before table rows.
     """
     p = pages.select("source_id", "page", F.coalesce("text", F.lit("")).alias("text")).withColumn("is_table", X.is_table_page(F.col("text")))
-    text = F.col("text")
-    # a column of its own, so that the lines' patterns run once for each line
-    p = p.withColumn("lines", F.when(F.col("is_table"), _table_lines(text, profile)))
-
-    def sentence(x: Column) -> Column:
-        return F.struct(x["piece"].alias("piece"), (x["start"] + F.length(F.regexp_extract(x["piece"], r"(?U)^\s*", 0))).alias("start"), (x["start"] + F.length(F.regexp_replace(x["piece"], r"(?U)\s+$", ""))).alias("end"))
-
-    rule = F.when(F.col("is_table"), F.lit(X.java(X.SPLIT_TABLE))).otherwise(F.lit(X.java(X.SPLIT_PROSE)))
-    both = F.concat(
-        F.transform(X.pieces(text, rule), lambda x: F.struct(F.lit(False).alias("row"), sentence(x).alias("x"))),
-        F.when(F.col("is_table"), F.transform(_table_rows(F.col("lines")), lambda x: F.struct(F.lit(True).alias("row"), x.alias("x")))).otherwise(F.array().cast("array<struct<row:boolean,x:struct<piece:string,start:int,end:int>>>")),
-    )
-    c = p.withColumn("page_themes", F.when(F.col("is_table"), X.themes(F.left(text, F.lit(PAGE_HEAD)), profile.keyword_groups)))
-    c = c.select("source_id", "page", "text", "page_themes", F.posexplode(both).alias("ord", "c")).select("*", F.col("c.row").alias("row"), X.squeeze(X.clean(F.col("c.x.piece"))).alias("s"), "c.x.start", "c.x.end")
-    c = c.filter(F.length("s").between(X.SHORTEST, X.LONGEST))
-    s, row = F.col("s"), F.col("row")
+    text, table = F.col("text"), F.col("is_table")
+    rule = F.when(table, F.lit(X.java(X.SPLIT_TABLE))).otherwise(F.lit(X.java(X.SPLIT_PROSE)))
+    no_rows = F.array().cast("array<struct<piece:string,start:int,end:int>>")
+    found = F.struct(
+        X.pieces(text, rule).alias("said"), F.when(table, X.let(_table_lines(text, profile), _table_rows)).otherwise(no_rows).alias("rows"),
+        F.coalesce(F.when(table, X.themes(F.left(text, F.lit(PAGE_HEAD)), profile.keyword_groups)), F.array().cast("array<string>")).alias("themes"),
+    )
+
+    def screened(f: Column) -> Column:
+        """Candidates of one page, so that only these are copied out of it."""
+        said = F.transform(f["said"], lambda x: F.struct(F.lit(False).alias("row"), x["piece"].alias("piece"), x["start"].alias("start"), F.lit(None).cast("int").alias("end")))
+        both = F.concat(said, F.transform(f["rows"], lambda x: F.struct(F.lit(True).alias("row"), x["piece"].alias("piece"), x["start"].alias("start"), x["end"].alias("end"))))
+        clean = F.transform(both, lambda x, i: x.withField("ord", i).withField("s", X.squeeze(X.clean(x["piece"]))))
+        fits = F.filter(clean, lambda x: F.length(x["s"]).between(X.SHORTEST, X.LONGEST))
+
+        def singled_out(x: Column) -> Column:
+            own = reduce(lambda a, b: a | b, (X.matches(x["s"], t, True) for t in profile.keyword_groups.values()), F.lit(False))
+            value = X.matches(x["s"], profile.value_unit_pattern, True) | (x["row"] & X.matches(x["s"], X.TABLE_NUMBER))
+            return own | (x["row"] & (F.size(f["themes"]) > 0)) | (value & X.matches(x["s"], profile.formula_pattern))
+
+        return F.transform(F.filter(fits, singled_out), lambda x: x.withField("page_themes", f["themes"]))
+
+    c = p.select("source_id", "page", "text", F.explode(X.let(found, screened)).alias("c"))
+    c = c.select("source_id", "page", "text", "c.ord", "c.row", "c.s", "c.piece", "c.start", "c.end", "c.page_themes")
+    s, row, piece = F.col("s"), F.col("row"), F.col("piece")
     values = F.transform(X.find_all(s, profile.value_unit_pattern, True), X.strip)
     c = c.select(
-        "source_id", "page", "text", "ord", "s", "row", "start", "end",
-        X.themes(s, profile.keyword_groups).alias("own"), "page_themes", values.alias("values"),
+        "source_id", "page", "text", "ord", "s", "row", X.themes(s, profile.keyword_groups).alias("own"), "page_themes", values.alias("values"),
+        F.when(row, F.col("start")).otherwise(F.col("start") + F.length(F.regexp_extract(piece, r"(?U)^\s*", 0))).alias("start"),
+        F.when(row, F.col("end")).otherwise(F.col("start") + F.length(F.regexp_replace(piece, r"(?U)\s+$", ""))).alias("end"),
         X.sorted_set(X.find_all(s, profile.formula_pattern, False, profile.formula_group)).alias("formulas"),
     )
     c = c.withColumn("themes", F.when(row, X.sorted_set(F.concat("own", "page_themes"))).otherwise(F.col("own")))
     c = c.withColumn("values", F.when(row, X.sorted_set(F.concat("values", F.transform(X.find_all(s, X.TABLE_NUMBER), X.strip)))).otherwise(F.col("values")))
     temperatures = F.when(row, X.sorted_set(F.transform(X.find_all(s, X.TABLE_TEMPERATURE, True), X.strip))).otherwise(F.transform(X.find_all(s, X.TEMPERATURE, True), X.strip))
-    c = c.withColumn("temperatures", temperatures).filter((F.size("themes") > 0) | ((F.size("values") > 0) & (F.size("formulas") > 0)))
-    c = c.withColumn("rn", F.row_number().over(Window.partitionBy("source_id", "page", "s").orderBy("ord"))).filter("rn = 1")
+    c = c.withColumn("temperatures", temperatures)
 
     needle, page_text = X.compact(s), X.compact(text)
     at = F.position(needle, page_text)
@@ -85,12 +96,15 @@ def fact_candidates(pages: DataFrame, profile: Profile) -> DataFrame:
         X.stable_id("span", F.col("source_id"), F.col("page").cast("string"), page_hash, a.cast("string"), z.cast("string")).alias("span_id"),
         "source_id", "page", page_hash.alias("page_sha256"), a.alias("start"), z.alias("end"), F.lit("utf16_code_units").alias("offset_unit"), F.sha2(raw, 256).alias("raw_text_sha256"),
     )
-    return c.select(
+    out = c.select(
         X.fact_id(F.col("source_id"), F.col("page"), s).alias("fact_id"), "source_id", "page", s.alias("evidence_text"), "themes",
         F.col("formulas").alias("material_formula_candidates"), F.col("values").alias("numeric_value_candidates"), F.col("temperatures").alias("temperature_candidates"),
         F.when(row, TABLE_ROW).otherwise(SENTENCE).alias("extraction_method"), F.lit(CANDIDATE).alias("verification_status"),
         X.confidence(F.col("values"), F.col("themes"), F.col("formulas")).alias("confidence"), F.when(unique & (X.compact(raw) == needle), span).alias("source_span"), "ord",
     )
+    # without the pages' texts
+    first = Window.partitionBy("source_id", "page", "evidence_text").orderBy("ord")
+    return out.withColumn("rn", F.row_number().over(first)).filter("rn = 1").drop("rn")
 
 
 def theme_counts(facts: DataFrame, *by: str) -> DataFrame:

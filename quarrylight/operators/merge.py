@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from quarrylight.functions import text as X
 
-from .assertions import none_of, unique_ids
+from .assertions import none_of_any, repeated_ids
+from .lineage import cut
 
 IDENTITY = ("source_id", "page", "evidence_text")
 
@@ -24,16 +25,17 @@ def load_preserved(base: DataFrame, overlays: list[DataFrame]) -> DataFrame:
     text; overlays hold verified records only; ids are complete and unique in each."""
     merged = base
     for i, part in enumerate([base, *overlays]):
-        for c in ("fact_id", "source_id", "page", "verification_status"):
-            none_of(part.filter(F.col(c).isNull()).select("fact_id"), f"incomplete preserved fact ({c})")
-        unique_ids(part, "fact_id")
+        checks = [(part.filter(F.col(c).isNull()).select("fact_id"), f"incomplete preserved fact ({c})") for c in ("fact_id", "source_id", "page", "verification_status")]
+        checks.append(repeated_ids(part, "fact_id"))
         if not i:
+            none_of_any(*checks)
             continue
-        none_of(part.filter(~X.is_verified(F.col("verification_status"))).select("fact_id"), "overlay holds an unverified candidate")
+        checks.append((part.filter(~X.is_verified(F.col("verification_status"))).select("fact_id"), "overlay holds an unverified candidate"))
         rest = [c for c in base.columns if c not in ("fact_id", *IDENTITY)]
         both = merged.alias("a").join(part.alias("b"), F.col("a.fact_id") == F.col("b.fact_id"))
         changed = _differs("a", "b", (*IDENTITY, *rest))
-        none_of(both.filter(changed & (X.is_verified(F.col("a.verification_status")) | _differs("a", "b", IDENTITY))).select("a.fact_id"), "conflicting preserved fact")
+        checks.append((both.filter(changed & (X.is_verified(F.col("a.verification_status")) | _differs("a", "b", IDENTITY))).select("a.fact_id"), "conflicting preserved fact"))
+        none_of_any(*checks)
         merged = merged.join(part, "fact_id", "left_anti").unionByName(part)
     return merged
 
@@ -41,11 +43,12 @@ def load_preserved(base: DataFrame, overlays: list[DataFrame]) -> DataFrame:
 def merge_preserved(generated: DataFrame, previous: DataFrame) -> DataFrame:
     """All previous facts as they are, then generated ones whose id and whose (source, page, text without white space) are new;
     of generated facts that agree in these the first by ord stays. Column origin: preserved or new."""
-    unique_ids(previous, "fact_id")
-    g = generated.withColumn("__t", X.compact(F.coalesce("evidence_text", F.lit(""))))
+    # both are read several times: candidates aren't extracted anew for each
+    g = cut(generated.withColumn("__t", X.compact(F.coalesce("evidence_text", F.lit("")))), "generated")
+    previous = cut(previous, "previous")
     p = previous.withColumn("__t", X.compact(F.coalesce("evidence_text", F.lit(""))))
     both = g.alias("a").join(p.alias("b"), F.col("a.fact_id") == F.col("b.fact_id"))
-    none_of(both.filter(_differs("a", "b", IDENTITY)).select("a.fact_id"), "fact id collision")
+    none_of_any(repeated_ids(previous, "fact_id"), (both.filter(_differs("a", "b", IDENTITY)).select("a.fact_id"), "fact id collision"))
     key = ["source_id", "page", "__t"]
     new = g.join(p.select("fact_id"), "fact_id", "left_anti").join(p.select(*key).distinct(), key, "left_anti")
     first = new.groupBy(*key).agg(F.min_by(F.struct(*generated.columns), F.struct(F.col("ord") if "ord" in generated.columns else F.lit(0), F.col("fact_id"))).alias("f")).select("f.*")
@@ -60,10 +63,10 @@ def merge_counts(merged: DataFrame) -> DataFrame:
 def merge_dispositions(facts: DataFrame, old: DataFrame) -> DataFrame:
     """Each fact's earlier decision with its present verification status, or the default for that status. No decision may lose its
     fact, and no fact its source or page."""
-    unique_ids(old, "fact_id")
-    none_of(old.join(facts, "fact_id", "left_anti").select("fact_id"), "disposition references would be lost")
+    lost = old.join(facts, "fact_id", "left_anti").select("fact_id")
     both = facts.alias("a").join(old.alias("b"), F.col("a.fact_id") == F.col("b.fact_id"))
-    none_of(both.filter(_differs("a", "b", ("source_id", "page"))).select("a.fact_id"), "disposition identity conflict")
+    conflict = both.filter(_differs("a", "b", ("source_id", "page"))).select("a.fact_id")
+    none_of_any(repeated_ids(old, "fact_id"), (lost, "disposition references would be lost"), (conflict, "disposition identity conflict"))
     extra = [c for c in old.columns if c not in ("fact_id", "source_id", "page", "verification_status")]
     o = old.select("fact_id", F.lit(True).alias("__old"), *extra)
     status = F.col("verification_status")

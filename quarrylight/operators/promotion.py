@@ -62,11 +62,12 @@ def references_flag(pages: DataFrame) -> DataFrame:
 
 
 def pair_measurements(rows: DataFrame, temperature_pattern: str = X.TEMPERATURE) -> DataFrame:
-    """rows: source_id, page, sentence, formula. One row for each property that occurs: reason (null if paired) and, paired by position,
+    """rows: source_id, page, sentence, formula, perhaps ord (the sentence's place on its page). One row for each property that occurs: reason (null if paired) and, paired by position,
     value, unit and temperature_c. Sentences without temperature, with one outside the window, or without formula give nothing."""
     s = F.col("sentence")
     t = F.transform(X.find_all(s, temperature_pattern, True, 1), lambda x: x.try_cast("double"))
     r = rows.filter(F.col("formula").isNotNull()).withColumn("t", t).filter((F.size("t") > 0) & ~F.exists("t", lambda x: (x < COOLEST) | (x > HOTTEST)))
+    own = ["source_id", "page", "sentence", "formula", *(c for c in ("ord",) if c in rows.columns)]
     found = []
     for name, (pattern, unit) in PROPERTIES.items():
         values = F.transform(X.find_all(s, pattern, True, 1), X.parse_number)
@@ -77,9 +78,9 @@ def pair_measurements(rows: DataFrame, temperature_pattern: str = X.TEMPERATURE)
         if name == "electrical_conductivity":
             reason = F.when(X.matches(s, ELECTROLYTE, True), "electrolyte_property_not_cathode").otherwise(reason)
         found.append(F.when(F.size(values) > 0, F.struct(F.lit(name).alias("property"), reason.alias("reason"), values.alias("v"), units.alias("u"))))
-    p = r.withColumn("x", F.explode(F.array_compact(F.array(*found)))).select("source_id", "page", "sentence", "formula", "t", "x.*")
-    rejected = p.filter("reason IS NOT NULL").select("source_id", "page", "sentence", "formula", "property", "reason", F.lit(None).cast("double").alias("value"), F.lit(None).cast("string").alias("unit"), F.lit(None).cast("double").alias("temperature_c"))
-    paired = p.filter("reason IS NULL").withColumn("z", F.explode(F.arrays_zip("v", "u", "t"))).select("source_id", "page", "sentence", "formula", "property", "reason", F.col("z.v").alias("value"), F.col("z.u").alias("unit"), F.col("z.t").alias("temperature_c"))
+    p = r.withColumn("x", F.explode(F.array_compact(F.array(*found)))).select(*own, "t", "x.*")
+    rejected = p.filter("reason IS NOT NULL").select(*own, "property", "reason", F.lit(None).cast("double").alias("value"), F.lit(None).cast("string").alias("unit"), F.lit(None).cast("double").alias("temperature_c"))
+    paired = p.filter("reason IS NULL").withColumn("z", F.explode(F.arrays_zip("v", "u", "t"))).select(*own, "property", "reason", F.col("z.v").alias("value"), F.col("z.u").alias("unit"), F.col("z.t").alias("temperature_c"))
     return paired.unionByName(rejected)
 
 
@@ -87,9 +88,10 @@ KEY = ("formula_key", "property", "value", "unit", "temperature_c")
 
 
 def new_measurements(paired: DataFrame, existing: DataFrame) -> DataFrame:
-    """First of each fingerprint within a source, without those that the master has (whatever their source). Nulls are equal."""
+    """First of each fingerprint within a source, by page and place on the page (column ord, where there is one; else by sentence), without
+    those that the master has (whatever their source). Nulls are equal."""
     p = paired.filter("reason IS NULL").withColumn("formula_key", X.formula_key(F.col("formula")))
-    first = p.groupBy("source_id", *KEY).agg(F.min_by(F.struct("page", "sentence", "formula"), F.struct("page", "sentence")).alias("f")).select("source_id", *KEY, "f.*")
+    first = p.groupBy("source_id", *KEY).agg(F.min_by(F.struct("page", "sentence", "formula"), F.struct("page", *(c for c in ("ord",) if c in p.columns), "sentence")).alias("f")).select("source_id", *KEY, "f.*")
     same = [first[c].eqNullSafe(existing[c]) for c in KEY]
     return first.join(existing.select(*KEY).distinct(), same, "left_anti")
 
@@ -110,7 +112,7 @@ def promote(pages: DataFrame, titles: DataFrame, batch: DataFrame, existing: Dat
     review = X.matches(F.coalesce("title", F.lit("")), REVIEW, True)
     kept = pages.join(chosen.filter(~review).select("source_id"), "source_id", "left_semi")
     flagged = references_flag(kept)
-    said = flagged.filter(~F.col("in_references")).select("source_id", "page", F.explode(sentences(F.coalesce("text", F.lit("")))).alias("sentence")).withColumn("reason", reject_reason(F.col("sentence")))
+    said = flagged.filter(~F.col("in_references")).select("source_id", "page", F.posexplode(sentences(F.coalesce("text", F.lit("")))).alias("ord", "sentence")).withColumn("reason", reject_reason(F.col("sentence")))
     first = kept.groupBy("source_id").agg(F.array_sort(F.collect_list(F.when(F.col("page") <= OPENING_PAGES, F.struct("page", "text")))).alias("p"))
     openings = chosen.select("source_id", "title").join(first, "source_id", "left").select("source_id", "title", F.transform("p", lambda x: x["text"]).alias("pages"))
     paired = pair_measurements(resolve_formulas(said.filter("reason IS NULL"), openings), DEGREES)

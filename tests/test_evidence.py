@@ -225,14 +225,34 @@ def test_promotion_job(spark):
     assert again.count() == 0 and {r.reason: r.n for r in why.collect()}["already_in_master"] == 1
 
 
-def test_formula_resolution():
-    from quarrylight.operators.formulas import document_context, resolve
-
-    names, heads = document_context("On La0.6Sr0.4Co0.2Fe0.8O3", ["We use La0.6Sr0.4Co0.2Fe0.8O3 (LSCF) here."])
-    assert resolve("LSCF is good.", names, heads) == ("La0.6Sr0.4Co0.2Fe0.8O3", "document_abbreviation_definition")
-    assert resolve("It is good.", {}, heads) == ("La0.6Sr0.4Co0.2Fe0.8O3", "single_formula_in_title")
-    assert resolve("Ba0.5Sr0.5Co0.8Fe0.2O3 is good.", {}, []) == ("Ba0.5Sr0.5Co0.8Fe0.2O3", "explicit_same_sentence")
-    assert resolve("It is good.", {}, []) == (None, "ambiguous_or_missing_formula")
+def test_formula_resolution(spark):
+    from quarrylight.operators.formulas import contexts, resolve_formulas
+
+    long, other, third = "La0.6Sr0.4Co0.2Fe0.8O3", "Ba0.5Sr0.5Co0.8Fe0.2O3", "Pr0.5Ba0.5Co2O5"
+    docs = [
+        ("a", f"On {long}", [f"We use {long} (LSCF) here."]), ("b", None, [f"{third} (PBC) and {other} (BSCF), Sr0.9 Ce0.1 Co0.9 Nb0.1 O3 (SCCN).", "", "", f"{long} (LATE)"]),
+        ("c", "A title", None), ("d", f"{long}-δ work", [f"{long} (LSCF); {other} (LSCF)"]), ("e", f"{other} and {third}", []), ("f", "CeO2 and Gd0.1Ce0.9O1.95", ["x (ABC)"]),
+    ]
+    openings = spark.createDataFrame(docs, "source_id string, title string, pages array<string>")
+    names = {r.source_id: dict(r.names) for r in contexts(openings).collect()}
+    assert names["a"] == {"LSCF": long} and names["b"] == {"PBC": third, "BSCF": other, "SCCN": "Sr0.9Ce0.1Co0.9Nb0.1O3"} and names["c"] == {} and names["d"] == {"LSCF": other}
+    cases = [
+        ("a", "LSCF is good.", long, "document_abbreviation_definition"), ("a", "It is good.", long, "single_formula_in_title"), ("a", "The LSX is good.", long, "title_formula_for_named_material"),
+        ("z", f"{other} is good.", other, "explicit_same_sentence"), ("z", "It is good.", None, "ambiguous_or_missing_formula"), ("b", "BSCF and PBC differ.", None, "ambiguous_or_missing_formula"),
+        ("a", "The AAB and the CCD cathode.", long, "title_formula_for_named_cathode_abbreviation"), ("a", "The YSZ layer.", None, "ambiguous_or_missing_formula"), ("e", "It is good.", None, "ambiguous_or_missing_formula"),
+        ("b", "The PBC-based one on XRD.", third, "document_abbreviation_definition"), ("f", "It is good.", None, "ambiguous_or_missing_formula"), ("a", None, long, "single_formula_in_title"),
+    ]
+    df = spark.createDataFrame([(c[0], i, c[1]) for i, c in enumerate(cases)], "source_id string, page int, sentence string")
+    got = {r.page: (r.formula, r.formula_method) for r in resolve_formulas(df, openings).collect()}
+    assert got == {i: c[2:] for i, c in enumerate(cases)}
+
+
+def test_first_measurement_by_place(spark):
+    """Of equal measurements on a page the first sentence stays, not the least."""
+    rows = [("a", 1, s, "La0.6Sr0.4CoO3", o) for o, s in ((5, "A conductivity of 300 S cm-1 at 700 °C."), (2, "Z conductivity of 300 S cm-1 at 700 °C."))]
+    paired = promotion.pair_measurements(spark.createDataFrame(rows, "source_id string, page int, sentence string, formula string, ord int"))
+    none = spark.createDataFrame([], "formula_key string, property string, value double, unit string, temperature_c double")
+    assert [r.sentence[0] for r in promotion.new_measurements(paired, none).collect()] == ["Z"]
 
 
 def test_organiser(spark):
