@@ -185,10 +185,20 @@ def context_status_counts(spark, sf_dir):
     return context.status_counts(document_checks(spark, sf_dir))
 
 
-@query(rf"""WITH {FACTS} SELECT fact_id, regexp_extract(s, '\d+\.\d+') AS match, position(regexp_extract(s, '\d+\.\d+') IN s) - 1 AS start FROM facts WHERE regexp_matches(s, '\d+\.\d+')""")
+def _matches_sql(field: str, pattern: str) -> str:
+    return f"""SELECT fact_id, '{field}' AS field, i AS number, m[i] AS match, list_sum(list_transform(g[1:i], lambda x: length(x)))::BIGINT + coalesce(list_sum(list_transform(m[1:i-1], lambda x: length(x))), 0)::BIGINT AS start
+ FROM (SELECT fact_id, m, g, unnest(range(1, len(m) + 1)) AS i FROM (SELECT fact_id, regexp_extract_all(s, '{pattern}') AS m, string_split_regex(s, '{pattern}') AS g FROM facts))"""
+
+
+@query(f"WITH {FACTS} {_matches_sql('license_name', '(?i)(?:mit|apache|gnu)')} UNION ALL {_matches_sql('address', '[0-9]+[.][0-9]+')}")
 def context_match_offsets(spark, sf_dir):
-    m = document_checks(spark, sf_dir).select("fact_id", F.get(F.filter("fields", lambda f: f["field"] == "address"), 0)["matches"].alias("m")).filter(F.size("m") > 0)
-    return m.select("fact_id", F.col("m")[0]["text"].alias("match"), F.col("m")[0]["start"].cast("bigint").alias("start"))
+    m = document_checks(spark, sf_dir).select("fact_id", F.explode("fields").alias("f")).select("fact_id", "f.field", F.posexplode("f.matches").alias("number", "m"))
+    return m.select("fact_id", "field", (F.col("number") + 1).cast("bigint").alias("number"), F.col("m.text").alias("match"), F.col("m.start").cast("bigint").alias("start"))
+
+
+@query(f"WITH {FACTS} SELECT fact_id, 'located_in_cached_page' AS locator_status, true AS needs_review FROM facts")
+def context_needs_review(spark, sf_dir):
+    return document_checks(spark, sf_dir).select("fact_id", "locator_status", "needs_review")
 
 
 def _halves(spark, sf_dir):
@@ -242,15 +252,19 @@ def _bound(spark, sf_dir):
     own = links.filter("relation = 'supports'").select("conclusion_id").distinct()
     links = links.join(own, "conclusion_id", "left_semi")
     claims = own.select("conclusion_id", F.lit("claim").alias("text"), F.lit("source_fact").alias("claim_type"), F.lit(None).cast("string").alias("rationale"))
-    conflicts = spark.createDataFrame([], "conclusion_id string, fact_ids array<string>, description string")
+    # every third conclusion that has two facts says that its first and last ones differ
+    pair = links.filter("cast(substring(conclusion_id, 2) AS INT) % 3 = 0").groupBy("conclusion_id").agg(F.array_distinct(F.array(F.min("fact_id"), F.max("fact_id"))).alias("fact_ids"))
+    conflicts = pair.filter("size(fact_ids) = 2").withColumn("description", F.lit("they differ"))
     return context.bind_conclusions(claims, links, conflicts, f, context.context_checks(context.locate(f, pages), PROFILE))
 
 
-@query("""WITH l AS (SELECT 'c' || doc_id % 40 AS conclusion_id, doc_id % 5 = 4 AS con, CASE WHEN toxic = 1 THEN 'a' WHEN quality = 1 THEN 'h' ELSE 'm' END AS st FROM labels)
+@query("""WITH l AS (SELECT doc_id % 40 AS c, 'c' || doc_id % 40 AS conclusion_id, doc_id % 5 = 4 AS con, CASE WHEN toxic = 1 THEN 'a' WHEN quality = 1 THEN 'h' ELSE 'm' END AS st FROM labels)
  SELECT conclusion_id, CASE WHEN bool_and(con OR st = 'h') THEN 'supporting_facts_human_verified' WHEN bool_and(con OR st = 'a') THEN 'supporting_facts_agent_verified' WHEN bool_and(con OR st = 'm') THEN 'supporting_facts_machine_candidates'
- ELSE 'supporting_facts_mixed_or_project_specific_status' END AS support_state, bool_or(con) AS has_conflicting_evidence, count(*) AS n FROM l GROUP BY 1 HAVING bool_or(NOT con)""")
+ ELSE 'supporting_facts_mixed_or_project_specific_status' END AS support_state, bool_or(con) OR (any_value(c) % 3 = 0 AND count(*) > 1) AS has_conflicting_evidence, any_value(c) % 3 = 0 AND count(*) > 1 AS disputed,
+ true AS context_needs_review, count(*) AS n FROM l GROUP BY 1 HAVING bool_or(NOT con)""")
 def binding_support_state(spark, sf_dir):
-    return _bound(spark, sf_dir).select("conclusion_id", "support_state", "has_conflicting_evidence", F.size("evidence").cast("bigint").alias("n"))
+    b = _bound(spark, sf_dir)
+    return b.select("conclusion_id", "support_state", "has_conflicting_evidence", F.col("conflicts").isNotNull().alias("disputed"), "context_needs_review", F.size("evidence").cast("bigint").alias("n"))
 
 
 def _profile_sql(name: str, numbers: list[str], others: list[str]) -> str:
@@ -267,11 +281,11 @@ def _profiled(name: str, numbers: list[str], others: list[str]) -> None:
     query(_profile_sql(name, numbers, others))(run)
 
 
-_profiled("lineitem", ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount"], ["l_returnflag", "l_linestatus", "l_shipdate"])
-_profiled("orders", ["o_orderkey", "o_totalprice"], ["o_orderstatus", "o_orderpriority"])
-_profiled("customer", ["c_custkey", "c_acctbal"], ["c_name", "c_mktsegment"])
-_profiled("part", ["p_partkey", "p_size", "p_retailprice"], ["p_brand", "p_type"])
-_profiled("events", ["event_id", "value"], ["event_type", "props"])
+_profiled("lineitem", ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"], ["l_returnflag", "l_linestatus", "l_shipdate"])
+_profiled("orders", ["o_orderkey", "o_custkey", "o_totalprice"], ["o_orderstatus", "o_orderpriority", "o_orderdate"])
+_profiled("customer", ["c_custkey", "c_nationkey", "c_acctbal"], ["c_name", "c_mktsegment"])
+_profiled("part", ["p_partkey", "p_size", "p_retailprice"], ["p_name", "p_brand", "p_type"])
+_profiled("events", ["event_id", "user_id", "value"], ["event_type", "props", "ts"])
 
 
 @query(r"""WITH v AS (SELECT event_id, CASE event_id % 6 WHEN 0 THEN event_id::VARCHAR WHEN 1 THEN event_type WHEN 2 THEN 'TRUE' WHEN 3 THEN ' ' WHEN 4 THEN (event_id || '.5e1') ELSE event_id || 'd' END AS t FROM events)
@@ -323,16 +337,36 @@ def _sentences(spark, sf_dir) -> DataFrame:
     return p.select(F.col("p_partkey").cast("string").alias("source_id"), F.lit(1).alias("page"), F.expr(RENDER).alias("sentence"), F.concat(F.lit("LaSrO"), F.col("p_size") % 3).alias("formula"), "p_brand")
 
 
-@query("""SELECT CASE p_partkey % 5 WHEN 1 THEN 'secondary_or_cited_statement' WHEN 2 THEN 'range_approximate_or_inequality' WHEN 3 THEN 'composite_material_not_single_formula' ELSE 'kept' END AS reason, count(*) AS n FROM part GROUP BY 1""")
+#: A sentence for each reason to reject, and for each property that is measured.
+VARIED = """CASE p_partkey % 16 WHEN 0 THEN 'Sample ' || p_brand || ' showed a polarization resistance of ' || p_size || '.5 ohm cm2 at ' || (400 + p_size * 10) || ' °C in air.'
+ WHEN 1 THEN 'As reported by others, ' || p_brand || ' was fine.' WHEN 2 THEN 'The value lies between ' || p_size || ' - 90 for ' || p_brand || '.' WHEN 3 THEN 'A composite of ' || p_brand || ' was used.'
+ WHEN 4 THEN 'Peak power density of ' || p_size || ' mW cm-2 at 650 °C.' WHEN 5 THEN 'Peak power density of ' || p_size || ' W cm-2 at 650 °C and 700 °C.' WHEN 6 THEN 'The value of [12] for ' || p_brand || '.'
+ WHEN 7 THEN 'An enhancement of the electrical conductivity for ' || p_brand || '.' WHEN 8 THEN 'The value /C2 for ' || p_brand || '.' WHEN 9 THEN 'AB12 and CD34 for ' || p_brand || '.' WHEN 10 THEN 'A value of 5 3 1012 cm for ' || p_brand || '.'
+ WHEN 11 THEN 'The electrical conductivity for YSZ was ' || p_size || ' S cm-1 at 700 °C.' WHEN 12 THEN 'The ASR was 3 ohm cm2 and 4 ohm cm2 at 700 °C.' WHEN 13 THEN 'Surface exchange coefficient of ' || p_size || 'e-5 cm s-1 at 700 °C.'
+ WHEN 14 THEN 'The TEC was ' || p_size || ' 10-6 K-1 at 700 °C.' ELSE 'The diffusion coefficient of ' || p_brand || ' was ' || p_size || ' cm2 s-1 at 150 °C.' END"""
+
+
+def _varied(spark, sf_dir) -> DataFrame:
+    p = table(spark, sf_dir, "part")
+    return p.select(F.col("p_partkey").cast("string").alias("source_id"), F.lit(1).alias("page"), F.expr(VARIED).alias("sentence"), F.lit("LaSrO3").alias("formula"))
+
+
+@query("""SELECT CASE p_partkey % 16 WHEN 1 THEN 'secondary_or_cited_statement' WHEN 2 THEN 'range_approximate_or_inequality' WHEN 3 THEN 'composite_material_not_single_formula' WHEN 6 THEN 'ambiguous_or_cited_sentence'
+ WHEN 7 THEN 'relative_change_not_absolute_measurement' WHEN 8 THEN 'unresolved_ocr_scientific_notation' WHEN 9 THEN 'multiple_material_abbreviations' WHEN 10 THEN 'suspicious_ocr_scientific_notation'
+ WHEN 14 THEN 'range_approximate_or_inequality' ELSE 'kept' END AS reason, p_partkey::VARCHAR AS source_id FROM part""")
 def promotion_reject_chain(spark, sf_dir):
-    return _sentences(spark, sf_dir).groupBy(F.coalesce(promotion.reject_reason(F.col("sentence")), F.lit("kept")).alias("reason")).agg(F.count(F.lit(1)).alias("n"))
+    return _varied(spark, sf_dir).select(F.coalesce(promotion.reject_reason(F.col("sentence")), F.lit("kept")).alias("reason"), "source_id")
 
 
-@query("""SELECT p_partkey::VARCHAR AS source_id, 'ASR' AS property, NULL AS reason, p_size + 0.5::DOUBLE AS value, 'Ω·cm²' AS unit, (400 + p_size * 10)::DOUBLE AS temperature_c FROM part WHERE p_partkey % 5 = 0
- UNION ALL SELECT p_partkey::VARCHAR, 'peak_power_density', 'unpaired_value_temperature', NULL, NULL, NULL FROM part WHERE p_partkey % 5 = 4 AND false""")
+@query("""SELECT p_partkey::VARCHAR AS source_id, 'ASR' AS property, NULL AS reason, p_size + 0.5::DOUBLE AS value, 'Ω·cm²' AS unit, (400 + p_size * 10)::DOUBLE AS temperature_c FROM part WHERE p_partkey % 16 = 0
+ UNION ALL SELECT p_partkey::VARCHAR, 'peak_power_density', NULL, p_size::DOUBLE, 'mW/cm²', 650 FROM part WHERE p_partkey % 16 = 4
+ UNION ALL SELECT p_partkey::VARCHAR, 'peak_power_density', 'unpaired_value_temperature', NULL, NULL, NULL FROM part WHERE p_partkey % 16 = 5
+ UNION ALL SELECT p_partkey::VARCHAR, 'electrical_conductivity', 'electrolyte_property_not_cathode', NULL, NULL, NULL FROM part WHERE p_partkey % 16 = 11
+ UNION ALL SELECT p_partkey::VARCHAR, 'ASR', 'multiple_unpaired_property_values', NULL, NULL, NULL FROM part WHERE p_partkey % 16 = 12
+ UNION ALL SELECT p_partkey::VARCHAR, 'oxygen_surface_exchange_coefficient', NULL, (p_size || 'e-5')::DOUBLE, 'cm/s', 700 FROM part WHERE p_partkey % 16 = 13""")
 def promotion_pairing(spark, sf_dir):
-    kept = _sentences(spark, sf_dir).filter(promotion.reject_reason(F.col("sentence")).isNull())
-    return promotion.pair_measurements(kept).filter("reason IS NULL AND property = 'ASR'").select("source_id", "property", F.lit(None).cast("string").alias("reason"), "value", "unit", "temperature_c")
+    kept = _varied(spark, sf_dir).filter(promotion.reject_reason(F.col("sentence")).isNull())
+    return promotion.pair_measurements(kept).select("source_id", "property", "reason", "value", "unit", "temperature_c")
 
 
 @query("""WITH m AS (SELECT DISTINCT p_partkey::VARCHAR AS source_id, 'lasro' || p_size % 3 AS formula_key, p_size + 0.5::DOUBLE AS value, (400 + p_size * 10)::DOUBLE AS temperature_c, p_brand FROM part WHERE p_partkey % 5 = 0),
