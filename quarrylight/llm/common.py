@@ -13,23 +13,54 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _OWN_DIR: list[str] = []
+_RUNS: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share, as the session names it; where unset (tests), a folder of this process."""
+    """The folder all executors share, as the session names it. Where it is unset a local session (tests) gets a folder of this process, a
+    cluster is refused: its executors would write to disks of their own."""
     there = spark.conf.get("spark.checkpoint.dir", None)
     if there:
         return there.rstrip("/")
+    if spark.sparkContext.master.split("[")[0] != "local":
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     if not _OWN_DIR:
         _OWN_DIR.append(tempfile.mkdtemp(prefix="quarrylight-"))
         atexit.register(shutil.rmtree, _OWN_DIR[0], ignore_errors=True)
     return f"file://{_OWN_DIR[0]}"
 
 
+def _removed(spark: SparkSession, folder: str) -> None:
+    try:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    except Exception:  # noqa: BLE001 (the session is gone: nothing can be done)
+        pass
+
+
+def run_dir(spark: SparkSession) -> str:
+    """The folder of this process's tables below the shared one, removed when the process ends."""
+    base = shared_dir(spark)
+    if base not in _RUNS:
+        _RUNS[base] = f"{base}/quarrylight-{uuid.uuid4().hex}"
+        atexit.register(_removed, spark, _RUNS[base])
+    return _RUNS[base]
+
+
+def settled(df: DataFrame, label: str) -> DataFrame:
+    """df, cut unless it only reads, filters and projects files: so that each reading gives the same rows in the same order."""
+    todo, plain = [df._jdf.queryExecution().optimizedPlan()], True
+    while todo:
+        node = todo.pop()
+        plain = plain and node.nodeName() in ("Project", "Filter", "LogicalRelation", "Relation", "DataSourceV2Relation", "DataSourceV2ScanRelation")
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    return df if plain and df._jdf.queryExecution().optimizedPlan().deterministic() else cut(df, label)
+
+
 def cut(df: DataFrame, label: str, compression: str = "zstd") -> DataFrame:
     """Write df as Parquet under the shared folder and read it back: the plan is cut, and lost executors cost nothing."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/quarrylight/{label}-{uuid.uuid4().hex}"
+    path = f"{run_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
