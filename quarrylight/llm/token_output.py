@@ -84,7 +84,7 @@ def write_matrices(df: DataFrame, key: str, text: str, row_tokens: int = 2048, p
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sequence = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 40
-        for keys, ids in blocks(batches, tokenizer, end):
+        for keys, ids, _ in blocks(batches, tokenizer, end):
             rows = best_fit([len(x) // 4 for x in ids], row_tokens)
             out: list[list] = [[] for _ in range(8)]
             for k, row in enumerate(rows):

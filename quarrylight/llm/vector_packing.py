@@ -16,6 +16,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from . import tokens
 
@@ -101,45 +103,48 @@ def pack(lengths: np.ndarray, prompts: np.ndarray, limits: Limits) -> list[Piece
     return out
 
 
-def blocks(batches: Iterator[pa.RecordBatch], path: str | None, end: int | None = END, size: int = BLOCK) -> Iterator[tuple[list, list[bytes]]]:
-    """(keys, ids of each) of consecutive rows (key, text); null texts count as empty."""
+def blocks(batches: Iterator[pa.RecordBatch], path: str | None, end: int | None = END, size: int = BLOCK) -> Iterator[tuple[list, list[bytes], list[int]]]:
+    """(keys, ids of each, how many of these are of the prompt) of consecutive rows (key, text, perhaps prompt); nulls count as empty."""
     enc = tokens.shared(path)
     tail = b"" if end is None else np.array([end], "<u4").tobytes()
-    keys, ids, n = [], [], 0
+    keys, ids, prompts, n = [], [], [], 0
     for b in batches:
-        for key, text in zip(b.column(0).to_pylist(), b.column(1)):
-            x = enc.encode(text.as_py() or "") + tail
+        said = b.column(2).to_pylist() if b.num_columns > 2 else [None] * b.num_rows
+        for key, text, prompt in zip(b.column(0).to_pylist(), b.column(1), said):
+            head = enc.encode(prompt) if prompt else b""
+            x = head + enc.encode(text.as_py() or "") + tail
             keys.append(key)
             ids.append(x)
+            prompts.append(len(head) // 4)
             n += len(x) // 4
             if n >= size:
-                yield keys, ids
-                keys, ids, n = [], [], 0
+                yield keys, ids, prompts
+                keys, ids, prompts, n = [], [], [], 0
     if keys:
-        yield keys, ids
+        yield keys, ids, prompts
 
 
-def pack_documents(df: DataFrame, key: str, text: str, limits: Limits = Limits(), tokenizer: str | None = None, prompt_tokens: str | None = None) -> DataFrame:
+def exchanges(turns: DataFrame, conversation: str, turn: str, role: str, text: str, answers: str = "assistant") -> DataFrame:
+    """Instruction data for pack_documents: key ("conversation:turn"), prompt, text of each turn whose role is `answers`. The prompt is the
+    text of the turn before (the least of several, null where there is none or it is an answer itself); answers with a null conversation or
+    turn have no prompt. One join on (conversation, turn): no conversation is gathered."""
+    own = turns.filter(F.col(role) == answers).select(F.col(conversation).alias("c"), (F.col(turn) - 1).alias("t"), F.concat_ws(":", F.col(conversation).cast("string"), F.col(turn).cast("string")).alias("key"), F.col(text).alias("text"))
+    before = turns.filter(F.coalesce(F.col(role) != answers, F.lit(True))).groupBy(F.col(conversation).alias("c"), F.col(turn).alias("t")).agg(F.min(text).alias("prompt"))
+    return own.join(before, ["c", "t"], "left").select("key", "prompt", "text")
+
+
+def pack_documents(df: DataFrame, key: str, text: str, limits: Limits = Limits(), tokenizer: str | None = None, prompt: str | None = None) -> DataFrame:
     """One row for each piece: key, start, length, ids_crc32, doc_tokens, loss_tokens, sequence_id, offset.
 
-    A document's ids end with id 1, so null and empty texts have one. prompt_tokens names a column with the number of
-    leading ids that bear no loss (null: none). Repeated rows are packed again; an empty table gives no rows; further
-    columns take no part. sequence_id is unique: partition, then number within it.
+    A document's ids end with id 1, so null and empty texts have one. prompt names a column of texts that stand before the others and bear
+    no loss (null: none); their ids come first. Repeated rows are packed again; an empty table gives no rows; further columns take no
+    part. sequence_id is unique: partition, then number within it; within a sequence offsets are gapless from 0.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sequence = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 40
-        prompts: list[int] = []
-
-        def seen() -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                prompts.extend(x or 0 for x in b.column(2).to_pylist())
-                yield b
-
-        for keys, ids in blocks(seen(), tokenizer):
-            lengths = np.array([len(x) // 4 for x in ids], np.int64)
-            own = np.array(prompts[: len(keys)], np.int64)
-            del prompts[: len(keys)]
+        for keys, ids, prompts in blocks(batches, tokenizer):
+            lengths, own = np.array([len(x) // 4 for x in ids], np.int64), np.array(prompts, np.int64)
             placed = pack(lengths, own, limits)
             crc = [zlib.crc32(ids[p.item][4 * p.start : 4 * (p.start + p.length)]) for p in placed]
             yield pa.record_batch(
@@ -157,13 +162,10 @@ def pack_documents(df: DataFrame, key: str, text: str, limits: Limits = Limits()
             )
             sequence += 1 + max((p.sequence for p in placed), default=0)
 
-    from pyspark.sql import functions as F
-    from pyspark.sql.pandas.types import to_arrow_type
-
     b_kind = to_arrow_type(df.schema[key].dataType)
     kind = df.schema[key].dataType.simpleString()
-    prompt = df[prompt_tokens].cast("long") if prompt_tokens else F.lit(0).cast("long")
-    out = df.select(df[key].alias("key"), df[text].alias("text"), prompt.alias("prompt")).mapInArrow(
+    said = [df[prompt].alias("prompt")] if prompt else []
+    out = df.select(df[key].alias("key"), df[text].alias("text"), *said).mapInArrow(
         run, f"key {kind}, start long, length long, ids_crc32 long, doc_tokens long, loss_tokens long, sequence_id long, offset long"
     )
     return out.withColumnRenamed("key", key)

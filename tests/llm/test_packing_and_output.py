@@ -77,8 +77,67 @@ def test_pack_documents(spark):
         assert zlib.crc32(part) == p.ids_crc32 and p.doc_tokens == len(ids[p.doc_id]) // 4
     assert sum(p.length for p in got) == sum(len(ids[k]) // 4 for k, _ in rows)
     assert V.pack_documents(df.limit(0), "doc_id", "text").count() == 0
-    prompted = V.pack_documents(df.withColumn("n", F.lit(2)), "doc_id", "text", V.Limits(32, 4, 16), prompt_tokens="n").groupBy("sequence_id").agg(F.sum("loss_tokens").alias("l"), F.sum("length").alias("n"), F.count(F.lit(1)).alias("k")).collect()
-    assert all(r.l <= 16 and r.n <= 32 and r.k <= 4 for r in prompted)
+    whole(got, V.Limits())
+
+
+def whole(rows, limits):
+    """Sequences are gapless and within the limits."""
+    by = defaultdict(list)
+    for r in rows:
+        by[r.sequence_id].append(r)
+    for rs in by.values():
+        at = 0
+        for r in sorted(rs, key=lambda r: r.offset):
+            assert r.offset == at
+            at += r.length
+        assert at <= limits.tokens and len(rs) <= limits.segments and sum(r.loss_tokens for r in rs) <= limits.loss
+    return by
+
+
+def test_registered_query(spark):
+    """Every id of every document once, in gapless sequences with little padding."""
+    from quarrylight.llm import queries
+    from quarrylight.llm.common import documents
+
+    sf = "/root/testdata/sf0.001"
+    texts = {r.doc_id: r.text for r in documents(spark, sf).collect()}
+    got = queries.op4_packing(spark, sf).collect()
+    by = whole(got, V.Limits())
+    ids = dict(zip(texts, [b + np.array([1], "<u4").tobytes() for b in reference([t or "" for t in texts.values()])]))
+    parts = defaultdict(list)
+    for p in got:
+        part = ids[p.doc_id][4 * p.start : 4 * (p.start + p.length)]
+        assert zlib.crc32(part) == p.ids_crc32 and p.doc_tokens == len(ids[p.doc_id]) // 4
+        parts[p.doc_id].append((p.start, part))
+    assert {k: b"".join(x for _, x in sorted(v)) for k, v in parts.items()} == ids
+    assert len(by) * 2048 - sum(p.length for p in got) < 2048 * (1 + len({s >> 40 for s in by}))
+
+
+@pytest.mark.parametrize("limits", [V.Limits(512, 8, 128), V.Limits(256, 4, 200), V.Limits(128, 64, 128)])
+def test_instruction_data(spark, limits):
+    """Answers bear loss, prompts don't: with limits of which each binds somewhere."""
+    turns = spark.read.parquet("/root/testdata/sf0.001/conversations.parquet").withColumn("key", F.lit("x"))
+    pairs = V.exchanges(turns, "conv_id", "turn", "role", "text")
+    rows = {(r.conv_id, r.turn): r for r in turns.collect()}
+    want = {}
+    for (c, t), r in rows.items():
+        if r.role == "assistant":
+            b = rows.get((c, t - 1))
+            want[f"{c}:{t}"] = (b.text if b and b.role != "assistant" else None, r.text)
+    assert {r.key: (r.prompt, r.text) for r in pairs.collect()} == want
+    got = V.pack_documents(pairs, "key", "text", limits, prompt="prompt").collect()
+    whole(got, limits)
+    heads, tails = reference([p or "" for p, _ in want.values()]), reference([t or "" for _, t in want.values()])
+    ids = {k: a + b + np.array([1], "<u4").tobytes() for k, a, b in zip(want, heads, tails)}
+    free = {k: len(a) // 4 for k, a in zip(want, heads)}
+    length = defaultdict(int)
+    for p in got:
+        assert zlib.crc32(ids[p.key][4 * p.start : 4 * (p.start + p.length)]) == p.ids_crc32
+        assert p.loss_tokens == max(0, p.start + p.length - max(p.start, free[p.key]))
+        length[p.key] += p.length
+    assert length == {k: len(x) // 4 for k, x in ids.items()}
+    by = whole(got, limits)
+    assert any(sum(r.loss_tokens for r in rs) == limits.loss or len(rs) == limits.segments for rs in by.values())
 
 
 def slow_best_fit(lengths, size):
