@@ -83,5 +83,19 @@ ORACLES: dict[str, str] = {
   WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
  s AS (SELECT q.vec_id AS query_id, d.vec_id, list_sum(list_transform(list_zip(q.e, d.e), lambda z: z[1] * z[2]))::BIGINT AS score FROM v q JOIN v d ON q.vec_id % 50 = 0 AND q.vec_id <> d.vec_id),
  r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM s)
- SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5"""
+ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
+    "op5_suffix_dedup": """WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+ c AS (SELECT doc_id, unnest(range(0, greatest(len(h) // 2 - 99, 0), 512)) AS o, h FROM d),
+ b AS (SELECT doc_id, o, substr(h, 2 * o + 1, 1222) AS h FROM c),
+ w AS (SELECT doc_id, o, unnest(range(0, least(512, len(h) // 2 - 99))) AS p, h FROM b),
+ k AS (SELECT doc_id, o + p AS p, md5_number(substr(h, 2 * p + 1, 200)) AS m FROM w),
+ f AS (SELECT m, min(struct_pack(d := doc_id, p := p)) AS first FROM k GROUP BY m HAVING count(*) > 1),
+ later AS (SELECT doc_id, p FROM k JOIN f USING (m) WHERE struct_pack(d := doc_id, p := p) <> first),
+ i AS (SELECT doc_id, p, CASE WHEN p <= lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 100 THEN 0 ELSE 1 END AS new FROM later),
+ g AS (SELECT doc_id, p, sum(new) OVER (PARTITION BY doc_id ORDER BY p) AS g FROM i),
+ s AS (SELECT doc_id, g, min(p) AS s, max(p) + 100 AS e FROM g GROUP BY doc_id, g),
+ l AS (SELECT doc_id, list(s ORDER BY s) AS ss, list(e ORDER BY s) AS es, count(*) AS n, sum(e - s) AS gone FROM s GROUP BY doc_id)
+ SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(gone, 0)::BIGINT AS n_removed, coalesce(n, 0)::BIGINT AS n_spans,
+ sha256(unhex(CASE WHEN n IS NULL THEN h ELSE array_to_string(list_transform(range(0, len(ss) + 1), lambda x: substr(h, 2 * (CASE WHEN x = 0 THEN 0 ELSE es[x] END) + 1, 2 * (coalesce(ss[x + 1], len(h) // 2) - CASE WHEN x = 0 THEN 0 ELSE es[x] END))), '') END)) AS kept_sha256
+ FROM d LEFT JOIN l USING (doc_id)""",
 }

@@ -31,8 +31,9 @@ from .common import buckets_for, cut, join_blobs, mix64, pack, split_blobs, tota
 WINDOW, GRAM = 100, 32
 #: Bytes hashed at once, and bytes after which runs are sent.
 SLICE, FLUSH = 1 << 20, 24 << 20
-#: A key with so many different runs is hot, or the 65,536th part of all runs if that is more (so at most 65,536 keys are hot).
-HOT, HOT_SEEN = 4096, 8
+#: A key with about so many different runs is hot, or with the 2^-22nd part of all runs if that is more (so that the list of hot keys has 32 MB
+#: at most). Runs are counted where their hash is a multiple of SHARE, wherever they stand.
+HOT, SHARE = 4096, 16
 #: Bytes whose suffixes are sorted at once.
 SORT = 1 << 20
 NULL_ID = np.iinfo(np.int64).max
@@ -243,23 +244,21 @@ _ARROW = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("blob", pa.bi
 
 
 def _hot_keys(rows: DataFrame, window: int, gram: int) -> np.ndarray:
-    """Keys shared by very many different runs: from counts of keys that stand out in some flush, summed over all."""
+    """Keys shared by very many different runs, wherever these stand: each flush counts the runs of its keys of which the hash is a
+    multiple of SHARE, and the counts are summed over all. This only says how windows are dealt out."""
 
     def run(batches):
         for _, _, (key, digest, *_) in _flushes(batches, window, gram, np.empty(0, np.uint64)):
-            pairs = np.unique(np.stack([key, digest], 1), axis=0)[:, 0] if len(key) < 2 else _distinct(key, digest)
-            k, c = np.unique(pairs, return_counts=True)
-            yield pa.record_batch([pa.array(np.append(k[c >= HOT_SEEN].view(np.int64), 0)), pa.array(np.append(c[c >= HOT_SEEN], 0)), pa.array(np.append(np.zeros((c >= HOT_SEEN).sum(), np.int64), len(key)))], names=["key", "n", "runs"])
-
-    def _distinct(key, digest):
-        order = np.lexsort((digest, key))
-        k, d = key[order], digest[order]
-        return k[np.concatenate([[True], (k[1:] != k[:-1]) | (d[1:] != d[:-1])])]
+            some = digest % np.uint64(SHARE) == 0
+            order = np.lexsort((digest[some], key[some]))
+            k, d = key[some][order], digest[some][order]
+            k, c = np.unique(k[np.concatenate([[True], (k[1:] != k[:-1]) | (d[1:] != d[:-1])])] if len(k) else k, return_counts=True)
+            yield pa.record_batch([pa.array(np.append(k.view(np.int64), 0)), pa.array(np.append(c, 0)), pa.array(np.append(np.zeros(len(k), np.int64), len(key)))], names=["key", "n", "runs"])
 
     sums = rows.mapInArrow(run, "key long, n long, runs long").groupBy("key").agg(F.sum("n").alias("n"), F.sum("runs").alias("runs"))
-    sums = cut(sums.filter((F.col("n") >= HOT) | (F.col("runs") > 0)), "hot")
+    sums = cut(sums.filter((F.col("n") >= max(1, HOT // SHARE)) | (F.col("runs") > 0)), "hot")
     total = sums.agg(F.sum("runs")).first()[0] or 0
-    hot = sums.filter((F.col("n") >= max(HOT, total >> 16)) & (F.col("n") > 0)).select("key").toPandas()["key"]
+    hot = sums.filter((F.col("n") >= max(1, HOT // SHARE, (total >> 22) // SHARE)) & (F.col("n") > 0)).select("key").toPandas()["key"]
     return np.sort(hot.to_numpy(np.int64).view(np.uint64))
 
 

@@ -49,3 +49,52 @@ def test_edges(spark):
     kept = O.select_documents(df, "text", none, 1, 0.0)
     assert kept.columns == df.columns and kept.count() == 5
     assert O.grade_documents(df.limit(0), "doc_id", "text", m).count() == 0
+
+
+def test_registered_query_against_plain_sums(spark):
+    """Scores as sums over all features of all distinct words, without the cache; grades from the thresholds by hand."""
+    import math
+
+    from quarrylight.llm import queries
+    from quarrylight.llm.common import documents
+
+    sf = "/root/testdata/sf0.001"
+    docs = documents(spark, sf)
+    model = queries.quality_model(docs, sf)
+    weights = model.weights.astype(np.float32)
+    got = {r.doc_id: r for r in queries.op2_quality(spark, sf).collect()}
+    assert len(got) == docs.count()
+    for r in docs.collect():
+        words = (r.text or "").split()
+        each = set(words)
+        score = sum(float(weights[f]) for w in each for f in O.word_features(w)) / len(each) ** O.SCALE + model.recurrence * math.log(len(words) / len(each)) if each else 0.0
+        tails = [1 / (1 + math.exp(-(score - t))) for t in model.thresholds]
+        g = got[r.doc_id]
+        assert abs(g.score - score) < 1e-3 and abs(g.tail_1 - tails[0]) < 1e-3 and abs(g.tail_2 - tails[1]) < 1e-3 and abs(g.expected_grade - sum(tails)) < 2e-3
+        assert g.keep == (g.tail_2 >= queries.LEAST)
+
+
+def test_held_out_at_the_production_threshold(spark):
+    """Trained on four fifths of the labels: of the rest, how many good documents stay and how many others go at LEAST."""
+    from quarrylight.llm import queries
+
+    sf = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    labels = spark.read.parquet(f"{sf}/labels.parquet").withColumn("g", F.expr(queries.GRADE))
+    model = O.train(docs, labels.filter("doc_id % 5 <> 0"), "doc_id", "text", F.col("g"), queries.GRADES)
+    rest = labels.filter("doc_id % 5 = 0").groupBy("doc_id").agg(F.min("g").alias("g"))
+    got = O.grade_documents(docs.join(rest, "doc_id"), "doc_id", "text", model).join(rest, "doc_id").groupBy("g").agg(F.avg((F.col("tail_2") >= queries.LEAST).cast("double")).alias("kept")).collect()
+    kept = {r.g: r.kept for r in got}
+    print(kept)
+    assert kept[2] >= 0.97 and kept[1] <= 0.1 and kept[0] <= 0.1
+
+
+def test_text_keys_and_clashing_names(spark):
+    rows = [(f"k{i}", "good words here" if i % 2 else "BAD!!! words 123", 0.0, "x") for i in range(40)] + [(None, None, 1.0, "y"), ("k1", "good words here", 0.0, "x")]
+    docs = spark.createDataFrame(rows, "id string, text string, score double, key string")
+    labels = spark.createDataFrame([(f"k{i}", i % 2) for i in range(0, 40, 1)], "id string, g int")
+    model = O.train(docs, labels, "id", "text", F.col("g"), 2)
+    out = O.grade_documents(docs, "id", "text", model).collect()
+    assert len(out) == 42 and all((r.tail_1 > 0.5) == (r.id is not None and int(r.id[1:]) % 2 == 1) for r in out if r.id)
+    kept = O.select_documents(docs, "text", model, 1, 0.5)
+    assert kept.columns == docs.columns and None in {r.id for r in kept.collect()}

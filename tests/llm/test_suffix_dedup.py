@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -43,7 +44,7 @@ def test_lpf_matches_definition():
 @pytest.mark.parametrize("hot", [4096, 2])
 def test_small_corpus_against_brute_force(spark, monkeypatch, hot):
     monkeypatch.setattr(S, "HOT", hot)
-    monkeypatch.setattr(S, "HOT_SEEN", min(hot, 8))
+    monkeypatch.setattr(S, "SHARE", 16 if hot > 16 else 1)
     rng = random.Random(5)
     word = lambda: "".join(rng.choice("abcdeé") for _ in range(rng.randint(1, 9)))
     text = lambda n: " ".join(word() for _ in range(n))
@@ -69,3 +70,43 @@ def test_whole_table(spark):
 
     rows = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
     assert found(QUERIES["op5_suffix_dedup"](spark, "/root/testdata/sf0.001")) == brute(rows, 100)
+
+
+def test_windows_in_suffix_order_against_longest_factors():
+    """The windows that the operator marks are those whose longest previous factor has a window's length at least."""
+    rng = random.Random(9)
+    for n, window in ((0, 16), (40, 16), (300, 16), (400, 40), (500, 100)):
+        data = "".join(rng.choice("ab") for _ in range(n)).encode()
+        data = data + data[n // 3 : n // 3 + 130] + b"zz" + data[: n // 2]
+        count = max(0, len(data) - window + 1)
+        if count:
+            want = [i for i, length in enumerate(S.lpf(data)[0]) if length >= window]
+            assert S._sorted_windows([data], np.array([count]), window).tolist() == want
+
+
+def test_keys_met_once_a_flush_are_hot(spark, monkeypatch):
+    """A line in ever new surroundings, one a flush: its key is found hot whatever the size of a flush, and results stay."""
+    rng = random.Random(4)
+    text = lambda n: "".join(rng.choice("abcdefghij ") for _ in range(n))
+    line = "the common line of more than sixty bytes stands here, more or less so in every one: "
+    rows = [(i, text(120) + line + text(120)) for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, text string").repartition(4)
+    monkeypatch.setattr(S, "HOT", 160)
+    for flush in (300, 1 << 20):
+        monkeypatch.setattr(S, "FLUSH", flush)
+        assert len(S._hot_keys(df, 100, 32)) >= 1
+    monkeypatch.setattr(S, "HOT", 1 << 20)
+    assert len(S._hot_keys(df, 100, 32)) == 0
+
+
+def test_sql(spark):
+    """The registered query beside its SQL."""
+    import duckdb
+
+    from quarrylight.llm import queries
+
+    sf = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{sf}/documents.parquet'")
+    want = con.sql(queries.ORACLES["op5_suffix_dedup"]).fetchall()
+    assert sorted(map(tuple, queries.op5_suffix_dedup(spark, sf).collect())) == sorted(want)
