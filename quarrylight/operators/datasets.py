@@ -58,3 +58,37 @@ def text_profile(text: Column, head_lines: int = 120, head_chars: int = 12000) -
     t = F.coalesce(text, F.lit(""))
     lines = F.split(F.regexp_replace(t, "(?:" + X.LINE_BREAK + ")$", ""), X.LINE_BREAK, -1)
     return F.struct(F.when(t == "", 0).otherwise(F.size(lines)).alias("line_count"), F.length(t).alias("text_chars"), F.left(X.clean(F.array_join(F.slice(lines, 1, head_lines), "\n")), F.lit(head_chars)).alias("head"))
+
+
+def table_shapes(cells: DataFrame) -> DataFrame:
+    """cells: source_id, table_ord, table, row_no (0: header), cells. source_id, table_ord, table, row_count, column_count, and
+    malformed_row_count (rows that don't have as many cells as the header)."""
+    n = F.max(F.when(F.col("row_no") == 0, F.size("cells")))
+    widths = cells.filter("row_no >= 0").groupBy("source_id", "table_ord", "table", F.size("cells").alias("w")).agg(F.count_if(F.col("row_no") > 0).alias("rows"), n.alias("head"))
+    own = widths.groupBy("source_id", "table_ord", "table").agg(F.sum("rows").alias("row_count"), F.coalesce(F.max("head"), F.lit(0)).alias("column_count"), F.collect_list(F.struct("w", "rows")).alias("by"))
+    odd = F.aggregate(F.filter("by", lambda x: x["w"] != F.col("column_count")), F.lit(0).cast("bigint"), lambda t, x: t + x["rows"])
+    return own.select("source_id", "table_ord", "table", "row_count", "column_count", odd.alias("malformed_row_count"))
+
+
+def table_columns(cells: DataFrame, samples: int = 8) -> DataFrame:
+    """One row for each column of each table: source_id, table_ord, column_no, name, nonempty_count, missing_count, distinct_count, numeric_count,
+    min, max, mean, sample_values (the first nonempty ones). Cells are read by infer_scalar(); cells that a row lacks are missing."""
+    by = ["source_id", "table_ord", "column_no"]
+    heads = cells.filter("row_no = 0").select("source_id", "table_ord", F.col("cells").alias("names"))
+    rows = cells.filter("row_no > 0").select("source_id", "table_ord", "row_no", "cells").join(heads, ["source_id", "table_ord"])
+    each = rows.select("source_id", "table_ord", "row_no", F.posexplode(F.transform("names", lambda n, i: F.get("cells", i))).alias("column_no", "raw")).withColumn("v", infer_scalar(F.col("raw")))
+    v = F.col("v")
+    full = v["kind"] != "null"
+    value = F.when(full, F.concat_ws(":", v["kind"], F.coalesce(F.when(v["kind"] != "string", v["number"].cast("string")), v["text"])))
+    counts = each.groupBy(*by, value.alias("value")).agg(F.count(F.lit(1)).alias("k"), F.count(v["number"]).alias("kn"), F.min(v["number"]).alias("lo"), F.max(v["number"]).alias("hi"), F.sum(v["number"]).alias("s"))
+    stats = counts.groupBy(*by).agg(
+        F.coalesce(F.sum(F.when(F.col("value").isNotNull(), F.col("k"))), F.lit(0)).alias("nonempty_count"), F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("k"))), F.lit(0)).alias("missing_count"),
+        F.count("value").alias("distinct_count"), F.sum("kn").alias("numeric_count"), F.min("lo").alias("min"), F.max("hi").alias("max"), (F.sum("s") / F.nullif(F.sum("kn"), F.lit(0))).alias("mean"),
+    )
+    first = Window.partitionBy(*by).orderBy("row_no")
+    some = each.filter(full).withColumn("rn", F.row_number().over(first)).filter(F.col("rn") <= samples)
+    shown = some.groupBy(*by).agg(F.transform(F.array_sort(F.collect_list(F.struct("rn", v["text"].alias("t")))), lambda x: x["t"]).alias("sample_values"))
+    named = heads.select("source_id", "table_ord", F.posexplode("names").alias("column_no", "name"))
+    out = named.join(stats, by, "left").join(shown, by, "left")
+    zero = {c: F.coalesce(c, F.lit(0)) for c in ("nonempty_count", "missing_count", "distinct_count", "numeric_count")}
+    return out.withColumns({**zero, "sample_values": F.coalesce("sample_values", F.array().cast("array<string>"))}).select(*by, "name", *zero, "min", "max", "mean", "sample_values")

@@ -13,7 +13,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarrylight.operators import context, facts, inventory, merge
+from quarrylight.operators import context, datasets, documents, facts, inventory, merge
 from quarrylight.operators.assertions import EvidenceError, none_of
 from quarrylight.plans.profile import Profile
 from quarrylight.sources import files
@@ -42,9 +42,12 @@ def write_atomic(path: Path, text: str) -> None:
         pending.unlink(missing_ok=True)
 
 
-def refresh(spark: SparkSession, profile: Profile, root: str, output: str, overlays: list[DataFrame] = (), full: bool = False, inventory_only: bool = False) -> dict:
+def refresh(spark: SparkSession, profile: Profile, root: str, output: str, overlays: list[DataFrame] = (), full: bool = False, inventory_only: bool = False, ocr: DataFrame | None = None) -> dict:
     """One incremental run. Pages of contents that an earlier run has are reused (unless full); facts are screened again with the
-    present profile; facts and decisions of earlier runs stay. Nothing of an earlier run is touched; a failure leaves it current."""
+    present profile; facts and decisions of earlier runs stay. Nothing of an earlier run is touched; a failure leaves it current.
+
+    ocr (sha256, page, ocr_text, as files.ocr_pages() reads it) stands in for thin pages of PDFs; documents that waited for it are read
+    again. Tables of datasets, too, are read once for each content. Paths, categories and aliases are those of this run."""
     before = current(output)
     run = f"run-{uuid.uuid4().hex}"
     put = lambda df, name: (df.write.parquet(f"{output}/{run}/{name}"), spark.read.schema(df.schema).parquet(f"{output}/{run}/{name}"))[1]
@@ -53,17 +56,26 @@ def refresh(spark: SparkSession, profile: Profile, root: str, output: str, overl
     put(inventory.duplicates(rows), "duplicates")
     if inventory_only:
         return {"run": run, "sources": sources.count()}
-    old = {n: table(spark, output, n) for n in ("pages", "facts", "dispositions")} if before else {}
+    old = {n: table(spark, output, n) for n in ("pages", "errors", "facts", "dispositions", "documents", "datasets", "cells")} if before else {}
     if old:
         none_of(old["facts"].join(sources, "source_id", "left_anti").select("fact_id"), "sources of preserved facts are missing")
     routed = inventory.route(sources)
     docs = routed.filter("is_document")
-    new = docs.join(old["pages"].select("source_id").distinct(), "source_id", "left_anti") if old and not full else docs
+    reuse = bool(old) and not full
+    kept = old["documents"].select("source_id") if reuse else None
+    if reuse and ocr is not None:
+        kept = kept.join(documents.awaiting_ocr(old["documents"], ocr), "source_id", "left_anti")
+    new = docs.join(kept, "source_id", "left_anti") if reuse else docs
     read = files.contents(new.select("source_id", "path", "extension"), root)
-    pdf = files.pdf_pages(read).filter("page > 0").select("source_id", "page", "text", F.lit("embedded").alias("text_source"))
-    pages = files.text_pages(read).unionByName(pdf)
-    if old and not full:
-        pages = old["pages"].join(docs.select("source_id"), "source_id", "left_semi").unionByName(pages)
+    pdf = put(files.pdf_pages(read), "pdf_pages")  # parsed once
+    errors = pdf.filter("error IS NOT NULL").select("source_id", "page", "error")
+    found = pdf.filter("page > 0").join(docs.select("source_id", "sha256"), "source_id").select("source_id", F.upper("sha256").alias("sha256"), "page", "text")
+    found = files.substitute_ocr(found, ocr) if ocr is not None else found.withColumn("text_source", F.lit("embedded"))
+    pages = files.text_pages(read).unionByName(found.select("source_id", "page", "text", "text_source"))
+    if reuse:
+        stays = docs.join(kept, "source_id", "left_semi").select("source_id")
+        pages, errors = (old[n].join(stays, "source_id", "left_semi").unionByName(x) for n, x in (("pages", pages), ("errors", errors)))
+    errors = put(errors, "errors")
     pages = put(pages, "pages")
     made = facts.fact_candidates(pages, profile)
     previous = old["facts"].drop("origin") if old else made.limit(0)
@@ -71,12 +83,21 @@ def refresh(spark: SparkSession, profile: Profile, root: str, output: str, overl
     decisions = old["dispositions"] if old else merge.merge_dispositions(merged.limit(0), merged.limit(0).select("fact_id", "source_id", "page", "verification_status"))
     decisions = put(merge.merge_dispositions(merged, decisions), "dispositions")
     checks = put(context.context_checks(context.locate(merged, pages), profile), "context_checks")
-    data = files.contents(routed.filter("is_dataset").select("source_id", "path", "extension"), root)
-    profiles = put(files.dataset_profiles(data), "datasets")
-    cells = put(files.cells(data), "cells")
+    records = put(documents.document_records(docs, pages, merged, errors), "documents")
+    put(documents.ocr_targets(records), "ocr_targets")
+    tabular = routed.filter("is_dataset")
+    fresh = tabular.join(old["datasets"].unionByName(old["cells"], allowMissingColumns=True).select("source_id").distinct(), "source_id", "left_anti") if reuse else tabular
+    data = files.contents(fresh.select("source_id", "path", "extension"), root)
+    read_now = {"datasets": files.dataset_profiles(data), "cells": files.cells(data)}
+    if reuse:
+        read_now = {n: old[n].join(tabular, "source_id", "left_semi").unionByName(x) for n, x in read_now.items()}
+    profiles, cells = (put(x, n) for n, x in read_now.items())
+    shapes = put(datasets.table_shapes(cells), "dataset_tables")
+    put(datasets.table_columns(cells), "dataset_columns")
     n = merge.merge_counts(merged).first().asDict()
     stats = {
-        "files": rows.count(), "sources": sources.count(), "unreadable": rows.filter("sha256 IS NULL").count(), "pages": pages.count(), "documents_reextracted": new.count(), "facts": merged.count(),
+        "files": rows.count(), "sources": sources.count(), "unreadable": rows.filter("sha256 IS NULL").count(), "pages": pages.count(), "documents": records.count(), "documents_reextracted": new.count(), "datasets_reprofiled": fresh.count(),
+        "documents_awaiting_ocr": documents.ocr_targets(records).count(), "tables": shapes.count(), "malformed_rows": shapes.agg(F.coalesce(F.sum("malformed_row_count"), F.lit(0))).first()[0], "facts": merged.count(),
         "facts_needing_review": checks.filter("needs_review").count(), "dispositions": decisions.count(), "profile_failures": profiles.filter("distillation_status <> 'profiled'").count() + cells.filter("error IS NOT NULL").count(),
         "cells": cells.filter("row_no > 0").agg(F.coalesce(F.sum(F.size("cells")), F.lit(0))).first()[0], **n,
     }
@@ -90,7 +111,7 @@ def validate(spark: SparkSession, profile: Profile, output: str) -> list[str]:
     run = current(output)
     if run is None:
         return ["there is no finished run"]
-    t = {n: table(spark, output, n) for n in ("inventory", "sources", "pages", "facts", "dispositions", "context_checks")}
+    t = {n: table(spark, output, n) for n in ("inventory", "sources", "pages", "facts", "dispositions", "context_checks", "documents", "datasets", "cells")}
     stats, out = run["statistics"], []
     for name, key in (("inventory", "files"), ("sources", "sources"), ("pages", "pages"), ("facts", "facts"), ("dispositions", "dispositions")):
         if t[name].count() != stats[key]:
@@ -99,6 +120,10 @@ def validate(spark: SparkSession, profile: Profile, output: str) -> list[str]:
         out.append("fact ids repeat")
     if not t["facts"].join(t["sources"], "source_id", "left_anti").isEmpty():
         out.append("facts name unknown sources")
+    recorded = t["documents"].select("source_id").union(t["datasets"].select("source_id")).union(t["cells"].select("source_id")).distinct()
+    routed = inventory.route(t["sources"]).filter("is_document or is_dataset")
+    if not routed.join(recorded, "source_id", "left_anti").isEmpty():
+        out.append("sources have no document or dataset record")
     if stats["unreadable"] or stats["profile_failures"]:
         out.append("some files can't be read")
     again = context.context_checks(context.locate(t["facts"], t["pages"]), profile).withColumn("fields", F.to_json("fields"))

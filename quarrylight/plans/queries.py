@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarrylight.functions import text as X
-from quarrylight.operators import context, datasets, facts, inventory, literature, merge, promotion
+from quarrylight.operators import context, datasets, documents, facts, inventory, literature, merge, promotion
 from quarrylight.plans.profile import Profile, from_dict
 
 PROFILE: Profile = from_dict({
@@ -443,3 +443,55 @@ def table_page_rows(spark, sf_dir):
     lines = table(spark, sf_dir, "part").groupBy("p_brand").agg(F.array_sort(F.collect_list(F.struct("p_partkey", line.alias("l")))).alias("ls"))
     pages = lines.select(F.col("p_brand").alias("source_id"), F.lit(1).alias("page"), F.concat(F.lit("Table 1\n"), F.array_join(F.transform("ls", lambda x: x["l"]), "\n")).alias("text"))
     return facts.fact_candidates(pages, TABLE_PROFILE).select("source_id", "evidence_text", "fact_id")
+
+
+CONV_FACTS = f"""cut AS (SELECT 'conv_' || conv_id AS source_id, turn + 1 AS page, {CUT} AS raw FROM conversations),
+ sent AS (SELECT DISTINCT source_id, page, {SQUEEZE.format('raw')} AS s FROM cut), hit AS (SELECT *, {HITS} FROM sent WHERE length(s) BETWEEN 35 AND 1600),
+ facts AS (SELECT * FROM hit WHERE t1 OR t2 OR (len(vs) > 0 AND len(fs) > 0))"""
+
+
+@query(f"""WITH {CONV_FACTS}, n AS (SELECT source_id, count(*) AS fact_count, count(*) FILTER (t1) AS license, count(*) FILTER (t2) AS function_words FROM facts GROUP BY 1),
+ d AS (SELECT 'conv_' || conv_id AS source_id, count(*) AS page_count, sum(length(text)) + count(*) - 1 AS text_chars FROM conversations GROUP BY 1)
+ SELECT source_id, page_count, text_chars::BIGINT AS text_chars, CASE WHEN text_chars >= greatest(200, 20 * page_count) THEN 'text_extracted' ELSE 'ocr_or_manual_review_required' END AS coverage,
+ coalesce(fact_count, 0) AS fact_count, coalesce(license, 0) AS license, coalesce(function_words, 0) AS function_words, 'machine_distilled_with_page_provenance' AS status FROM d LEFT JOIN n USING (source_id)""")
+def document_records(spark, sf_dir):
+    c = table(spark, sf_dir, "conversations")
+    pages = c.select(F.concat(F.lit("conv_"), "conv_id").alias("source_id"), (F.col("turn") + 1).alias("page"), "text", F.lit("embedded").alias("text_source"))
+    sources = pages.select("source_id").distinct().select("source_id", F.lit("paper").alias("category"), F.concat("source_id", F.lit(".pdf")).alias("path"), F.array().cast("array<string>").alias("alias_paths"), F.lit("").alias("sha256"), F.lit(0).alias("size_bytes"), F.lit(".pdf").alias("extension"))
+    r = documents.document_records(sources, pages, facts.fact_candidates(pages, PROFILE))
+    n = lambda t: F.coalesce(F.get(F.filter("distilled_index.themes", lambda x: x["theme"] == t), F.lit(0))["n"], F.lit(0)).alias(t)
+    e = F.col("extraction")
+    return r.select("source_id", e["page_count"].alias("page_count"), e["text_chars"].cast("bigint").alias("text_chars"), e["text_coverage_status"].alias("coverage"), F.col("distilled_index.fact_count").alias("fact_count"), n("license"), n("function_words"), F.col("distillation_status").alias("status"))
+
+
+@query("""SELECT 'conv_' || conv_id AS source_id, sum(length(text)) + count(*) - 1 AS text_chars FROM conversations GROUP BY conv_id HAVING sum(length(text)) + count(*) - 1 < greatest(200, 20 * count(*))""")
+def ocr_targets(spark, sf_dir):
+    c = table(spark, sf_dir, "conversations")
+    pages = c.select(F.concat(F.lit("conv_"), "conv_id").alias("source_id"), (F.col("turn") + 1).alias("page"), "text", F.lit("embedded").alias("text_source"))
+    sources = pages.select("source_id").distinct().select("source_id", F.lit("paper").alias("category"), F.concat("source_id", F.lit(".pdf")).alias("path"), F.array().cast("array<string>").alias("alias_paths"), F.lit("").alias("sha256"), F.lit(0).alias("size_bytes"), F.lit(".pdf").alias("extension"))
+    none = facts.fact_candidates(pages.limit(0), PROFILE)
+    return documents.ocr_targets(documents.document_records(sources, pages, none)).select("source_id", F.col("extraction.text_chars").cast("bigint").alias("text_chars"))
+
+
+def _part_cells(spark, sf_dir) -> DataFrame:
+    """A table of text cells for each brand; every seventh row lacks its last cell."""
+    p = table(spark, sf_dir, "part").filter("p_partkey > 0")  # row 0 is the header
+    rows = p.select(F.col("p_brand").alias("source_id"), F.lit(0).alias("table_ord"), F.lit("csv").alias("table"), F.col("p_partkey").alias("row_no"), F.array(F.col("p_partkey").cast("string"), F.when(F.col("p_size") > 10, F.col("p_size").cast("string")).otherwise(""), F.when(F.col("p_size") % 2 == 0, "TRUE").otherwise("text"), F.lit("x")).alias("cells"))
+    rows = rows.withColumn("cells", F.when(F.col("row_no") % 7 == 0, F.slice("cells", 1, 3)).otherwise(F.col("cells")))
+    heads = p.select("p_brand").distinct().select(F.col("p_brand").alias("source_id"), F.lit(0).alias("table_ord"), F.lit("csv").alias("table"), F.lit(0).cast("bigint").alias("row_no"), F.array(*map(F.lit, ("key", "size", "kind", "last"))).alias("cells"))
+    return heads.unionByName(rows)
+
+
+@query("SELECT p_brand AS source_id, count(*) AS row_count, 4 AS column_count, count(*) FILTER (p_partkey % 7 = 0) AS malformed_row_count FROM part WHERE p_partkey > 0 GROUP BY 1")
+def dataset_tables(spark, sf_dir):
+    return datasets.table_shapes(_part_cells(spark, sf_dir)).select("source_id", "row_count", "column_count", "malformed_row_count")
+
+
+@query("""WITH p AS (SELECT * FROM part WHERE p_partkey > 0)
+ SELECT p_brand AS source_id, 'key' AS name, count(*) AS nonempty_count, 0::BIGINT AS missing_count, count(DISTINCT p_partkey) AS distinct_count, count(*) AS numeric_count, min(p_partkey)::DOUBLE AS min, max(p_partkey)::DOUBLE AS max, array_to_string(list_sort(list(p_partkey))[1:8], '|') AS samples FROM p GROUP BY 1
+ UNION ALL SELECT p_brand, 'size', count(*) FILTER (p_size > 10), count(*) FILTER (p_size <= 10), count(DISTINCT p_size) FILTER (p_size > 10), count(*) FILTER (p_size > 10), min(p_size) FILTER (p_size > 10)::DOUBLE, max(p_size) FILTER (p_size > 10)::DOUBLE, coalesce(array_to_string((list(p_size ORDER BY p_partkey) FILTER (p_size > 10))[1:8], '|'), '') FROM p GROUP BY 1
+ UNION ALL SELECT p_brand, 'kind', count(*), 0, count(DISTINCT p_size % 2), count(*) FILTER (p_size % 2 = 0), CASE WHEN bool_or(p_size % 2 = 0) THEN 1 END, CASE WHEN bool_or(p_size % 2 = 0) THEN 1 END, array_to_string(list(CASE WHEN p_size % 2 = 0 THEN 'TRUE' ELSE 'text' END ORDER BY p_partkey)[1:8], '|') FROM p GROUP BY 1
+ UNION ALL SELECT p_brand, 'last', count(*) FILTER (p_partkey % 7 <> 0), count(*) FILTER (p_partkey % 7 = 0), CASE WHEN bool_or(p_partkey % 7 <> 0) THEN 1 ELSE 0 END, 0, NULL, NULL, array_to_string(list_transform(range(0, least(8, count(*) FILTER (p_partkey % 7 <> 0))), lambda x: 'x'), '|') FROM p GROUP BY 1""")
+def dataset_columns(spark, sf_dir):
+    c = datasets.table_columns(_part_cells(spark, sf_dir))
+    return c.select("source_id", "name", "nonempty_count", "missing_count", "distinct_count", "numeric_count", "min", "max", joined("sample_values").alias("samples"))

@@ -143,10 +143,14 @@ def test_corpus_run_refresh_and_validation(spark, tmp_path):
     assert profile.preflight(p, root)["ready"]
     one = corpus.refresh(spark, p, str(root), str(out))["statistics"]
     assert (one["files"], one["sources"], one["facts"], one["documents_reextracted"]) == (4, 3, 2, 1)
+    assert (one["documents"], one["datasets_reprofiled"], one["tables"], one["malformed_rows"], one["documents_awaiting_ocr"]) == (1, 2, 1, 0, 0)
+    columns = {r.name: r for r in corpus.table(spark, str(out), "dataset_columns").collect()}
+    # no delimiter is clear here, so that a comma is taken
+    assert columns["material;value"].asDict() | {"source_id": ""} == {"source_id": "", "table_ord": 0, "column_no": 0, "name": "material;value", "nonempty_count": 2, "missing_count": 0, "distinct_count": 2, "numeric_count": 0, "min": None, "max": None, "mean": None, "sample_values": ["LiFePO4;155", "ragged"]}
     assert corpus.validate(spark, p, str(out)) == []
     wider = profile.from_dict(BATTERY | {"keyword_groups": BATTERY["keyword_groups"] | {"cycling": "cycling response"}}, root)
     two = corpus.refresh(spark, wider, str(root), str(out))["statistics"]
-    assert two["documents_reextracted"] == 0 and two["facts"] >= one["facts"] and two["preserved_fact_ids"] == one["facts"]
+    assert two["documents_reextracted"] == two["datasets_reprofiled"] == 0 and two["tables"] == 1 and two["facts"] >= one["facts"] and two["preserved_fact_ids"] == one["facts"]
     assert "the profile has changed since" in corpus.validate(spark, p, str(out))
     n = corpus.export_json(corpus.table(spark, str(out), "facts").drop("origin"), str(out / "facts.json"), ["source_id", "ord"])
     assert len(json.loads((out / "facts.json").read_text())) == n == two["facts"]
@@ -158,6 +162,34 @@ def test_corpus_run_refresh_and_validation(spark, tmp_path):
     assert corpus.current(str(out))["statistics"] == two
 
 
+def test_document_records_and_ocr(spark, tmp_path):
+    from quarrylight.operators import documents
+
+    (tmp_path / "ocr.json").write_text(json.dumps({"documents": [{"sha256": "aa", "pages": [{"page": 1, "text": "y" * 50, "error": None}, {"page": 2, "text": "short"}]}, {"sha256": "AA", "pages": [{"page": 1, "text": "later"}]}]}))
+    ocr = files.ocr_pages(spark, str(tmp_path / "ocr.json"))
+    assert {(r.sha256, r.page): r.ocr_text for r in ocr.collect()} == {("AA", 1): "y" * 50, ("AA", 2): "short"}
+    rows = [("p", "AA", 1, "thin"), ("p", "AA", 2, "Abstract: " + "x" * 90 + "\nKeywords: k doi 10.1000/abc."), ("q", "BB", 1, "")]
+    pg = files.substitute_ocr(spark.createDataFrame(rows, "source_id string, sha256 string, page int, text string"), ocr)
+    assert {(r.source_id, r.page): r.text_source for r in pg.collect()} == {("p", 1): "ocr", ("p", 2): "embedded", ("q", 1): "embedded"}
+    pg = pg.select("source_id", "page", "text", "text_source").unionByName(spark.createDataFrame([("t", 1, "word", "text_file")], "source_id string, page int, text string, text_source string"))
+    made = [(s, n, n, th, fo) for s, n, th, fo in (("p", 1, ["b", "a"], ["F2", "F1"]), ("p", 2, ["a"], ["F1"]), ("t", 1, ["z"], ["F9", "F3"]))]
+    f = spark.createDataFrame(made, "source_id string, page int, ord int, themes array<string>, material_formula_candidates array<string>")
+    src = [(s, "paper", f"d/Nature - 2020 - {s}{x}", [], h, 1, x) for s, h, x in (("p", "AA", ".pdf"), ("q", "BB", ".pdf"), ("t", "CC", ".txt"), ("u", "DD", ".md"))]
+    sources = spark.createDataFrame(src, "source_id string, category string, path string, alias_paths array<string>, sha256 string, size_bytes long, extension string")
+    bad = spark.createDataFrame([("q", 1, "page 1: broken")], "source_id string, page int, error string")
+    got = {r.source_id: r for r in documents.document_records(sources, pg, f, bad).collect()}
+    p, q, t, u = (got[x] for x in "pqtu")
+    assert p.bibliographic_metadata.file_name.title == "p" and p.bibliographic_metadata.doi_candidates == ["10.1000/abc"] and p.extraction.ocr_pages_used == 1 and p.extraction.text_chars == 51 + len(rows[1][3])
+    assert p.distilled_sections.abstract_or_summary == "x" * 90 and p.distilled_sections.conclusion_or_outlook is None and p.distillation_status == "machine_distilled_with_ocr_page_provenance"
+    assert [(x.theme, x.n) for x in p.distilled_index.themes] == [("a", 2), ("b", 1)] and p.distilled_index.material_formula_candidates == ["F1", "F2"] and p.distilled_index.fact_count == 2
+    assert q.extraction.errors == ["page 1: broken"] and q.distillation_status == "unreadable_requires_ocr" and q.extraction.text_coverage_status == "ocr_or_manual_review_required"
+    assert t.distilled_index.material_formula_candidates == ["F3", "F9"] and t.extraction.text_coverage_status == "text_extracted" and t.distillation_status == "machine_distilled_with_line_level_text"
+    assert u.extraction.text_coverage_status == "unreadable" and u.distilled_index.fact_count == 0 and u.human_verification_status == "not_complete"
+    records = documents.document_records(sources, pg, f, bad)
+    assert {r.source_id for r in documents.ocr_targets(records).collect()} == {"p", "q", "u"}
+    assert {r.source_id for r in documents.awaiting_ocr(records, ocr).collect()} == {"p"}
+
+
 def test_file_profiles():
     assert files.profile_json(b"")["content_status"] == "empty_file"
     assert files.profile_json(b'{"a": [1], "b": {"c": {"d": {"e": 1}}}}')["shape"] == {"a": {"type": "array", "length": 1, "item_shape": "int"}, "b": {"c": {"d": {"e": "int"}}}}
@@ -167,10 +199,12 @@ def test_file_profiles():
     z = io.BytesIO()
     with zipfile.ZipFile(z, "w") as w:
         w.writestr("a.txt", "hello")
-    assert files.profile_zip(z.getvalue())["members"][0]["crc32"] == "3610A686"
+    assert files.profile_zip(z.getvalue()) == {"format": "zip", "member_count": 1, "uncompressed_size_bytes": 5, "members": [{"path": "a.txt", "size_bytes": 5, "compressed_size_bytes": 5, "crc32": "3610A686", "is_directory": False}]}
+    whole = b"[" + b"1," * (2 << 20) + b"1]"
+    assert files.profile_gzip(gzip.compress(whole))["shape"]["length"] == (2 << 20) + 1 and files.profile_gzip(gzip.compress(whole)[:-2000])["content_type"] == "json_like"
+    assert files.profile_text(b"a\r\nb\n", ".py") == {"format": "py", "line_count": 2, "text_chars": 4, "head": "a\nb"}
     assert files.read_csv(("a;b\n" + "1;2\n" * 30 + "5\n").encode("utf-8-sig"))[0] == [["a", "b"], *[["1", "2"]] * 30, ["5"]]
     assert files.read_csv("列,值\n钠,1\n".encode("gb18030"))[1] == "gb18030"
-    assert files.summary([True, 1, 1.0, "", None])["numeric"]["count"] == 3
 
 
 def test_scalar_functions(spark):
