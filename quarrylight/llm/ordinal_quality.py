@@ -17,6 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -66,10 +67,21 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, float]], grades: np.ndarray, n_
     if not rows:
         return Model(np.zeros(DIMS), 0.0, np.linspace(-1, 1, k) if k > 1 else np.zeros(k))
     size = np.array([len(r[0]) for r in rows])
-    col = np.concatenate([r[0] for r in rows])
-    val = np.concatenate([r[1] for r in rows])
-    used, col = np.unique(col, return_inverse=True)
-    row = np.repeat(np.arange(len(rows)), size)
+    col = np.concatenate([np.asarray(r[0], np.int32) for r in rows])
+    val = np.concatenate([np.asarray(r[1], np.float32) for r in rows])
+    used = np.flatnonzero(np.bincount(col, minlength=DIMS))
+    place = np.zeros(DIMS, np.intp)
+    place[used] = np.arange(len(used))
+    col = place[col]
+    full = size > 0
+    begin = (np.cumsum(size) - size)[full]
+
+    def by_row(x: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(size))
+        if len(x):
+            out[full] = np.add.reduceat(x, begin)
+        return out
+
     rec = np.array([r[2] for r in rows])
     m = len(used)
     share = np.array([(grades >= g).mean() for g in range(1, n_grades)]).clip(0.01, 0.99)
@@ -79,7 +91,7 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, float]], grades: np.ndarray, n_
     i = np.arange(len(rows))
     for step in range(1, rounds + 1):
         w, r, t = p[:m], p[m], np.concatenate([p[m + 1 : m + 2], p[m + 1] + np.cumsum(np.log1p(np.exp(p[m + 2 :])))])
-        score = np.bincount(row, val * w[col], len(rows)) + r * rec
+        score = by_row(w[col] * val) + r * rec
         z = np.clip(score[:, None] - t[None, :], -30, 30)
         tail = np.hstack([np.ones((len(rows), 1)), 1 / (1 + np.exp(-z)), np.zeros((len(rows), 1))])
         prob = np.maximum(tail[i, grades] - tail[i, grades + 1], 1e-9)
@@ -90,7 +102,7 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, float]], grades: np.ndarray, n_
         d_t[i, grades + 1] -= slope[i, grades + 1] / prob
         g_t = d_t[:, 1:n_grades].sum(0)
         steps = np.cumsum(g_t[::-1])[::-1]  # a threshold moves with every step before it
-        g = np.concatenate([np.bincount(col, val * d_score[row], m), [rec @ d_score], steps[:1], steps[1:] / (1 + np.exp(-p[m + 2 :]))]) / len(rows)
+        g = np.concatenate([np.bincount(col, np.repeat(d_score, size) * val, m), [rec @ d_score], steps[:1], steps[1:] / (1 + np.exp(-p[m + 2 :]))]) / len(rows)
         g[: m + 1] += l2 * p[: m + 1]
         mean = 0.9 * mean + 0.1 * g
         square = 0.99 * square + 0.01 * g * g
@@ -150,9 +162,16 @@ def train(docs: DataFrame, labels: DataFrame, key: str, text: str, grade: Column
             )
 
     kind = docs.schema[key].dataType.simpleString()
-    got = rows.mapInArrow(run, f"key {kind}, grade int, col binary, val binary, rec double").toPandas().sort_values(["key", "grade", "rec"], kind="stable")
-    feats = [(np.frombuffer(c, np.int32).astype(np.int64), np.frombuffer(v, np.float32).astype(np.float64), r) for c, v, r in zip(got["col"], got["val"], got["rec"])]
-    return fit(feats, got["grade"].to_numpy(np.int64), n_grades)
+    # Arrow to numpy without a copy in pandas between: this, and no index of the rows, is what keeps the driver small
+    got = rows.mapInArrow(run, f"key {kind}, grade int, col binary, val binary, rec double").toArrow()
+    got = got.take(pc.sort_indices(got.select(["key", "grade", "rec"]), [(c, "ascending") for c in ("key", "grade", "rec")]))
+    feats = [(np.frombuffer(c, np.int32), np.frombuffer(v, np.float32), r) for c, v, r in zip(got["col"].to_pylist(), got["val"].to_pylist(), got["rec"].to_pylist())]
+    grades = got["grade"].to_numpy().astype(np.int64)
+    del got
+    model = fit(feats, grades, n_grades)
+    del feats
+    pa.default_memory_pool().release_unused()
+    return model
 
 
 def grade_documents(df: DataFrame, key: str, text: str, model: Model) -> DataFrame:
