@@ -193,6 +193,18 @@ def clean_doi(text: Column) -> Column:
     return F.nullif(F.lower(F.regexp_replace(F.regexp_extract(text, java("(" + DOI + ")", True), 1), r"[.,;:)\]}]+$", "")), F.lit(""))
 
 
+def plain_doi(text: Column) -> Column:
+    """A catalogue's DOI field: lower case, without resolver, "doi:" and trailing marks; empty for null."""
+    bare = F.lower(strip(F.coalesce(text, F.lit(""))))
+    return F.regexp_replace(F.regexp_replace(F.regexp_replace(bare, r"^https?://(?:dx\.)?doi\.org/", ""), r"(?U)^doi:\s*", ""), r"(?U)[\s.,;)]+$", "")
+
+
+def document_doi(candidates: Column) -> Column:
+    """The first candidate that looks whole (no cut-off year at its end), lower case."""
+    whole = F.filter(candidates, lambda d: F.regexp_like(d, F.lit(r"(?U)^10\.\d{4,9}/\S{4,}$")) & ~F.regexp_like(d, F.lit(r"(?U)\.(?:19|20)\d{0,2}$")))
+    return F.lower(F.get(whole, F.lit(0)))
+
+
 def safe_name(text: Column, longest: int = 120) -> Column:
     """A part of a file name: no reserved characters, single blanks, an ellipsis where it is cut."""
     plain = F.regexp_replace(squeeze(F.regexp_replace(text, r'[<>:"/\\|?*\x00-\x1f]', " ")), r"[ .]+$", "")

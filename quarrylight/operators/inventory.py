@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarrylight.functions import text as X
@@ -25,11 +25,14 @@ def canonical_sources(rows: DataFrame) -> DataFrame:
 
 
 def duplicates(rows: DataFrame) -> DataFrame:
-    """One row for each copy that isn't canonical, then the unreadable rows."""
-    r = _ranked(rows)
+    """One row for each copy that isn't canonical (a repeated row is a copy), then the unreadable rows. Copies are compared with their
+    content's first row; no window sorts the rows of a content that many files share."""
+    r = _ranked(rows).groupBy("sha256", "o", "category").agg(F.count(F.lit(1)).cast("int").alias("times"))
     first = r.groupBy("sha256").agg(F.min(F.struct("o", "category")).alias("m"))
-    copies = r.join(first, "sha256").withColumn("rn", F.row_number().over(Window.partitionBy("sha256").orderBy("o", "category"))).filter("rn > 1")
-    out = copies.select("sha256", F.col("path").alias("duplicate_path"), F.col("category").alias("duplicate_category"), X.source_id(F.col("sha256")).alias("canonical_source_id"), F.col("m.o.path").alias("canonical_path"), F.lit("byte_identical_sha256").alias("reason"))
+    own = F.struct("o", "category") == F.col("m")
+    more = r.join(first, "sha256").withColumn("more", F.col("times") - F.when(own, 1).otherwise(0)).filter("more > 0")
+    copies = more.withColumn("copy", F.explode(F.array_repeat(F.lit(0), F.col("more"))))
+    out = copies.select("sha256", F.col("o.path").alias("duplicate_path"), F.col("category").alias("duplicate_category"), X.source_id(F.col("sha256")).alias("canonical_source_id"), F.col("m.o.path").alias("canonical_path"), F.lit("byte_identical_sha256").alias("reason"))
     return out.unionByName(rows.filter(F.col("sha256").isNull()), allowMissingColumns=True)
 
 

@@ -86,6 +86,7 @@ def test_canonical_sources(spark):
     assert got["H1"].path == "Path" and got["H1"].alias_paths == ["long/path", "a"] and got["H1"].all_categories == ["dataset", "paper"]
     dup = inventory.duplicates(rows).collect()
     assert sorted(str(r.duplicate_path) for r in dup) == ["None", "a", "long/path"]
+    assert sorted(str(r.duplicate_path) for r in inventory.duplicates(rows.union(rows)).collect()) == ["None", "None", "Path", "a", "a", "long/path", "long/path", "t"]
 
 
 def test_merge_and_dispositions(spark):
@@ -212,6 +213,8 @@ def test_scalar_functions(spark):
     get = lambda c: one.select(c.alias("x")).first().x
     assert get(X.clean(F.lit(" a\0b­  c\n \n\n\n d "))) == "a b c\n\nd"
     assert get(X.dois(F.lit("10.1000/abc.), 10.1000/ABC; 10.1000/abc"))) == ["10.1000/ABC", "10.1000/abc"]
+    assert [get(X.plain_doi(F.lit(v))) for v in (" https://doi.org/10.1/A.", "DOI: 10.1/b);", None)] == ["10.1/a", "10.1/b", ""]
+    assert get(X.document_doi(F.array(F.lit("10.1016/j.abc.20"), F.lit("10.1016/J.X.5"), F.lit("10.1/ab")))) == "10.1016/j.x.5"
     assert get(X.filename_metadata(F.lit("Nature - 2020 - A - B"), F.lit("paper"))).asDict() == {"title": "A - B", "year": 2020, "venue_or_institution": "Nature", "publication_number": None}
     assert get(X.section(F.lit("Abstract: " + "x" * 90 + "\nKeywords: a"), [r"^\s*abstract\s*[:—-]?"], [r"^\s*keywords"])) == "x" * 90
     assert get(X.valid_formula(F.lit("La0.6Sr0.4CoO3"))) and not get(X.valid_formula(F.lit("ABO3")))
