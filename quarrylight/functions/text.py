@@ -17,6 +17,8 @@ TABLE_TEMPERATURE = r"(?<!\d)(-?\d+(?:\.\d+)?(?:\s*[−–-]\s*-?\d+(?:\.\d+)?)?
 TABLE_NUMBER = r"(?<![A-Za-z0-9.])(?:~|∼|≈)?\d+(?:\.\d+)?(?:\s*[−–-]\s*\d+(?:\.\d+)?)?(?![A-Za-z0-9.])"
 LINE_BREAK = "\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85  ]"
 SHORTEST, LONGEST = 35, 1600
+#: White space of the contract: Unicode's and the four separators from 1C to 1F.
+SPACE = r"[\s\x1c-\x1f]"
 
 
 def java(pattern: str, ignore_case: bool = False) -> str:
@@ -37,16 +39,16 @@ def find_all(text: Column, pattern: str, ignore_case: bool = False, group: int =
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    return F.regexp_replace(text, rf"(?U)^{SPACE}+|{SPACE}+$", "")
 
 
 def squeeze(text: Column) -> Column:
     """White space of any kind and length becomes one blank, none at the ends."""
-    return strip(F.regexp_replace(text, r"(?U)\s+", " "))
+    return F.trim(F.regexp_replace(text, rf"(?U){SPACE}+", " "))  # one blank at most is left at either end
 
 
 def compact(text: Column) -> Column:
-    return F.regexp_replace(text, r"(?U)\s+", "")
+    return F.regexp_replace(text, rf"(?U){SPACE}+", "")
 
 
 def clean(text: Column) -> Column:
@@ -56,6 +58,11 @@ def clean(text: Column) -> Column:
     return strip(F.regexp_replace(text, r"\n{3,}", "\n\n"))
 
 
+def one_line(text: Column) -> Column:
+    """squeeze(clean(text)): where all white space becomes one blank, what clean() does to blanks and lines makes no difference."""
+    return squeeze(F.replace(F.replace(text, F.lit("\0"), F.lit(" ")), F.lit("\u00ad"), F.lit("")))
+
+
 def stable_id(prefix: str, *parts: Column) -> Column:
     return F.concat(F.lit(f"{prefix}_"), F.left(F.sha2(F.concat_ws("|", *parts), 256), F.lit(20)))
 

@@ -60,7 +60,7 @@ def fact_candidates(pages: DataFrame, profile: Profile) -> DataFrame:
         """Candidates of one page, so that only these are copied out of it."""
         said = F.transform(f["said"], lambda x: F.struct(F.lit(False).alias("row"), x["piece"].alias("piece"), x["start"].alias("start"), F.lit(None).cast("int").alias("end")))
         both = F.concat(said, F.transform(f["rows"], lambda x: F.struct(F.lit(True).alias("row"), x["piece"].alias("piece"), x["start"].alias("start"), x["end"].alias("end"))))
-        clean = F.transform(both, lambda x, i: x.withField("ord", i).withField("s", X.squeeze(X.clean(x["piece"]))))
+        clean = F.transform(both, lambda x, i: x.withField("ord", i).withField("s", X.one_line(x["piece"])))
         fits = F.filter(clean, lambda x: F.length(x["s"]).between(X.SHORTEST, X.LONGEST))
 
         def singled_out(x: Column) -> Column:

@@ -93,7 +93,7 @@ def dedup_aliases(spark, sf_dir):
 @query(f"WITH c AS (SELECT doc_id, {CUT} AS raw FROM documents), s AS (SELECT doc_id, {SQUEEZE.format('raw')} AS sentence FROM c) SELECT doc_id, sentence, count(*) AS n FROM s WHERE length(sentence) BETWEEN 35 AND 1600 GROUP BY 1, 2")
 def sentence_split(spark, sf_dir):
     d = table(spark, sf_dir, "documents").select("doc_id", F.explode(X.pieces(F.col("text"), F.lit(X.java(X.SPLIT_PROSE)))).alias("p"))
-    s = d.select("doc_id", X.squeeze(X.clean(F.col("p.piece"))).alias("sentence"))
+    s = d.select("doc_id", X.one_line(F.col("p.piece")).alias("sentence"))
     return s.filter(F.length("sentence").between(X.SHORTEST, X.LONGEST)).groupBy("doc_id", "sentence").agg(F.count(F.lit(1)).alias("n"))
 
 

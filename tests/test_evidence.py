@@ -213,6 +213,8 @@ def test_scalar_functions(spark):
     get = lambda c: one.select(c.alias("x")).first().x
     assert get(X.clean(F.lit(" a\0b­  c\n \n\n\n d "))) == "a b c\n\nd"
     assert get(X.dois(F.lit("10.1000/abc.), 10.1000/ABC; 10.1000/abc"))) == ["10.1000/ABC", "10.1000/abc"]
+    for odd in ("  a\u00ad b\0\0c \n\n\n\t d\u2003e\u00a0 ", "\0", "", "\u00ad \u00ad", "x\n \n y\x1c", "\x85a\r\nb "):
+        assert get(X.one_line(F.lit(odd))) == get(X.squeeze(X.clean(F.lit(odd)))) == " ".join(odd.replace("\0", " ").replace("\u00ad", "").split())
     assert [get(X.plain_doi(F.lit(v))) for v in (" https://doi.org/10.1/A.", "DOI: 10.1/b);", None)] == ["10.1/a", "10.1/b", ""]
     assert get(X.document_doi(F.array(F.lit("10.1016/j.abc.20"), F.lit("10.1016/J.X.5"), F.lit("10.1/ab")))) == "10.1016/j.x.5"
     assert get(X.filename_metadata(F.lit("Nature - 2020 - A - B"), F.lit("paper"))).asDict() == {"title": "A - B", "year": 2020, "venue_or_institution": "Nature", "publication_number": None}
