@@ -91,7 +91,8 @@ def new_measurements(paired: DataFrame, existing: DataFrame) -> DataFrame:
     """First of each fingerprint within a source, by page and place on the page (column ord, where there is one; else by sentence), without
     those that the master has (whatever their source). Nulls are equal."""
     p = paired.filter("reason IS NULL").withColumn("formula_key", X.formula_key(F.col("formula")))
-    first = p.groupBy("source_id", *KEY).agg(F.min_by(F.struct("page", "sentence", "formula"), F.struct("page", *(c for c in ("ord",) if c in p.columns), "sentence")).alias("f")).select("source_id", *KEY, "f.*")
+    shown = ["page", "sentence", "formula", *(c for c in ("formula_method",) if c in p.columns)]
+    first = p.groupBy("source_id", *KEY).agg(F.min_by(F.struct(*shown), F.struct("page", *(c for c in ("ord",) if c in p.columns), "sentence")).alias("f")).select("source_id", *KEY, "f.*")
     same = [first[c].eqNullSafe(existing[c]) for c in KEY]
     return first.join(existing.select(*KEY).distinct(), same, "left_anti")
 
@@ -123,3 +124,82 @@ def promote(pages: DataFrame, titles: DataFrame, batch: DataFrame, existing: Dat
     fresh = paired.filter("reason IS NULL").withColumn("formula_key", X.formula_key(F.col("formula"))).select("source_id", *KEY).distinct()
     known = fresh.join(existing.select(*KEY).distinct(), [fresh[c].eqNullSafe(existing[c]) for c in KEY], "left_semi")
     return new, reasons.unionByName(one(known, "already_in_master")).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+# What a promoted measurement says of itself.
+STATUS, GRADE, REVIEWED = "directly_reported", "B_primary_locator_or_quote_unverified", "not_human_verified"
+ROLE = "local_primary_fulltext_page_anchored_machine_extraction"
+EVIDENCE = "page_anchored_machine_extracted"
+TARGET_C = 650
+
+
+def _json_id(prefix: str, *parts: Column) -> Column:
+    """prefix and a hash of the parts (null: left out as null)."""
+    return F.concat(F.lit(prefix), F.left(F.sha2(F.to_json(F.struct(*(p.alias(f"p{i}") for i, p in enumerate(parts))), {"ignoreNullFields": "false"}), 256), F.lit(20)))
+
+
+def records(new: DataFrame, sources: DataFrame, batch_date: str) -> DataFrame:
+    """new: see new_measurements(); sources: source_id, title, doi, path. One record for each source and formula: experimental_record_id,
+    source_id, formula_key, formula (of its first measurement), external_source, measurements in the order of property, temperature,
+    value and page. A formula's measurements are those of one document, so a record is small however many documents there are.
+    Nothing is said to be verified; fields that the sentence doesn't give are null and listed as missing."""
+    s = F.coalesce("sentence", F.lit(""))
+    method, air = X.matches(s, r"\b(EIS|impedance)\b", True), X.matches(s, r"\bin air\b", True)
+    at_target = F.coalesce(F.col("temperature_c") == TARGET_C, F.lit(False))
+    how = F.col("formula_method") if "formula_method" in new.columns else F.lit(None).cast("string")
+    one = F.struct(
+        F.col("property"), F.col("temperature_c"), F.col("value"), F.col("page"), F.col("unit"),
+        _json_id("pagefact_", F.col("source_id"), F.col("formula_key"), F.col("property"), F.col("value"), F.col("unit"), F.col("temperature_c"), F.col("page"), F.col("sentence")).alias("evidence_id"),
+        F.lit(STATUS).alias("data_status"), F.struct(F.lit(None).cast("string").alias("electrolyte"), F.when((F.col("property") == "ASR") & method, "EIS").alias("test_method"), F.when(air, "air").alias("atmosphere")).alias("test_context"),
+        F.lit(None).cast("string").alias("synthesis_method"),
+        F.struct(F.col("page"), *(F.lit(None).cast("string").alias(c) for c in ("figure", "table", "sheet", "row")), F.col("path").alias("local_source_path"), F.lit(False).alias("human_verified")).alias("source_location"),
+        F.struct(F.col("sentence").alias("exact_original_sentence"), F.lit(EVIDENCE).alias("evidence_status")).alias("evidence"), how.alias("formula_method"), F.col("doi"),
+        F.when(at_target, "target_temperature").otherwise("supporting_other_temperature").alias("priority_role"), F.lit(GRADE).alias("evidence_grade"), F.lit(REVIEWED).alias("verification_status"),
+        F.array_compact(F.array(F.lit("electrolyte"), F.when(~method, "test_method"), F.lit("synthesis_method"))).alias("missing_fields"),
+    )
+    about = sources.select("source_id", "title", "doi", "path")
+    rows = new.join(about, "source_id", "left").withColumn("m", one)
+    first = F.min_by("formula", F.struct("page", "sentence", "property"))
+    grouped = rows.groupBy("source_id", "formula_key").agg(first.alias("formula"), F.first(F.struct("title", "doi", "path")).alias("external_source"), F.array_sort(F.collect_list("m")).alias("measurements"))
+    rid = _json_id("exp_", F.col("source_id"), F.col("formula_key"), F.lit(batch_date))
+    return grouped.select(rid.alias("experimental_record_id"), "source_id", "formula_key", "formula", F.lit(ROLE).alias("source_role"), "external_source", "measurements")
+
+
+def review_queue(made: DataFrame) -> DataFrame:
+    """made: see records(). What people should look at: one row a measurement, those at the target temperature first in rank."""
+    m = made.select("experimental_record_id", "source_id", "formula", F.explode("measurements").alias("m"))
+    high = F.coalesce(F.col("m.temperature_c") == TARGET_C, F.lit(False))
+    return m.select(
+        "m.evidence_id", "experimental_record_id", "source_id", "formula", "m.property", "m.value", "m.unit", "m.temperature_c", "m.page", F.when(high, "high").otherwise("normal").alias("priority"),
+        F.when(high, 1).otherwise(2).alias("priority_rank"), F.col("m.evidence.exact_original_sentence").alias("evidence_text"),
+    )
+
+
+def coverage_counts(made: DataFrame) -> DataFrame:
+    """One row over records(): records, measurements, and how many measurements have each of eight fields."""
+    m = made.select("experimental_record_id", F.explode_outer("measurements").alias("m"))
+    there = lambda c: F.count_if(F.col(c).isNotNull())
+    return m.agg(
+        F.count_distinct("experimental_record_id").alias("records"), there("m.property").alias("measurements"), F.count_if(F.col("m.data_status") == STATUS).alias(STATUS),
+        there("m.test_context.electrolyte").alias("electrolyte"), there("m.test_context.test_method").alias("test_method"), there("m.synthesis_method").alias("synthesis_method"), there("m.source_location.page").alias("page"),
+        there("m.source_location.figure").alias("figure"), there("m.source_location.table").alias("table"), F.count_if(F.col("m.source_location.sheet").isNotNull() & F.col("m.source_location.row").isNotNull()).alias("sheet_row"),
+        F.count_if(F.coalesce("m.evidence.exact_original_sentence", F.lit("")) != "").alias("exact_original_sentence"),
+    )
+
+
+def snapshot(master: DataFrame, made: DataFrame) -> DataFrame:
+    """The master's records and the new ones, as a table of its own; raises where an id would stand twice."""
+    from .assertions import unique_ids
+
+    out = master.unionByName(made, allowMissingColumns=True)
+    unique_ids(out, "experimental_record_id")
+    return out
+
+
+def audit(master: DataFrame, made: DataFrame, rejected: DataFrame) -> dict:
+    """Counts of a promotion: what the master had, what is added, what it has now, and rejections by reason."""
+    counted = lambda df: df.agg(F.count_distinct("source_id").alias("sources"), F.count(F.lit(1)).alias("records"), F.coalesce(F.sum(F.size("measurements")), F.lit(0)).alias("measurements")).first().asDict()
+    fresh = made.select("source_id").distinct().join(master, "source_id", "left_anti").count()
+    before, added = counted(master), counted(made)
+    after = {"sources": before["sources"] + fresh, **{c: before[c] + added[c] for c in ("records", "measurements")}}
+    return {"input_counts": before, "added_record_count": added["records"], "added_measurement_count": added["measurements"], "added_source_count": fresh, "output_counts": after, "rejection_counts": {r.reason: r.n for r in rejected.orderBy("reason").collect()}}

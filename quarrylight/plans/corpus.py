@@ -4,10 +4,10 @@ manifest; written as Parquet tables of one run, which become current only when a
 from __future__ import annotations
 
 import datetime
-import hashlib
 import json
 import os
 import uuid
+from functools import reduce
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,10 +15,39 @@ from pyspark.sql import functions as F
 
 from quarrylight.operators import context, datasets, documents, facts, inventory, merge
 from quarrylight.operators.assertions import EvidenceError, none_of
+from quarrylight.plans import masters
 from quarrylight.plans.profile import Profile
 from quarrylight.sources import files
 
 POINTER = "current.json"
+# What a manifest holds, and where.
+SCHEMA = "1.0.0"
+REQUIRED = {
+    "": ("schema_version", "generated_at", "scope", "statistics", "artifacts", "quality_model"), "scope": ("root", "canonical_categories", "policy"), "statistics": (),
+    "artifacts": ("source_inventory", "deduplication", "documents", "evidence_facts", "datasets", "tabular_data", "master_collections"),
+    "quality_model": ("document_text", "fact_candidates", "dataset_profiles", "human_verification"),
+}
+ARTIFACTS = {"source_inventory": "inventory", "deduplication": "duplicates", "documents": "documents", "evidence_facts": "facts", "datasets": "datasets", "tabular_data": "cells", "master_collections": "masters"}
+POLICY = "All files are listed; files of equal bytes count once, with the paths of the others."
+QUALITY = {"document_text": "by page, from the file or from OCR", "fact_candidates": "found by machine, not verified", "dataset_profiles": "by machine", "human_verification": "kept where people have decided"}
+
+
+def manifest_faults(manifest: object) -> list[str]:
+    """What a manifest lacks."""
+    if not isinstance(manifest, dict):
+        return ["the manifest is no object"]
+    out = []
+    for part, keys in REQUIRED.items():
+        held = manifest.get(part) if part else manifest
+        if not isinstance(held, dict):
+            out.append(f"{part} is missing or no object")
+        else:
+            out += [f"{part + '.' if part else ''}{k} is missing" for k in keys if k not in held]
+    if "schema_version" in manifest and manifest["schema_version"] != SCHEMA:
+        out.append(f"schema_version isn't {SCHEMA}")
+    if "generated_at" in manifest and not isinstance(manifest["generated_at"], str):
+        out.append("generated_at is no string")
+    return out
 
 
 def current(output: str) -> dict | None:
@@ -94,25 +123,34 @@ def refresh(spark: SparkSession, profile: Profile, root: str, output: str, overl
     profiles, cells = (put(x, n) for n, x in read_now.items())
     shapes = put(datasets.table_shapes(cells), "dataset_tables")
     put(datasets.table_columns(cells), "dataset_columns")
+    index = [r.asDict() for r in table(spark, output, "masters").select("path", "sha256", "database_type").collect()] if before and "masters" in before["statistics"] else []  # a few
+    heads = put(masters.master_profiles(spark, masters.master_paths(profile, Path(root), index), Path(root)), "masters")
     n = merge.merge_counts(merged).first().asDict()
     stats = {
         "files": rows.count(), "sources": sources.count(), "unreadable": rows.filter("sha256 IS NULL").count(), "pages": pages.count(), "documents": records.count(), "documents_reextracted": new.count(), "datasets_reprofiled": fresh.count(),
         "documents_awaiting_ocr": documents.ocr_targets(records).count(), "tables": shapes.count(), "malformed_rows": shapes.agg(F.coalesce(F.sum("malformed_row_count"), F.lit(0))).first()[0], "facts": merged.count(),
         "facts_needing_review": checks.filter("needs_review").count(), "dispositions": decisions.count(), "profile_failures": profiles.filter("distillation_status <> 'profiled'").count() + cells.filter("error IS NOT NULL").count(),
-        "cells": cells.filter("row_no > 0").agg(F.coalesce(F.sum(F.size("cells")), F.lit(0))).first()[0], **n,
+        "masters": heads.count(), "cells": cells.filter("row_no > 0").agg(F.coalesce(F.sum(F.size("cells")), F.lit(0))).first()[0], **n,
     }
-    manifest = {"run": run, "generated_at": datetime.datetime.now(datetime.timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ"), "fact_extraction_version": profile.version, "statistics": stats}
+    scope = {"root": str(root), "canonical_categories": sorted(profile.canonical_roots), "policy": POLICY}
+    manifest = {"schema_version": SCHEMA, "scope": scope, "artifacts": ARTIFACTS, "quality_model": QUALITY, "run": run, "generated_at": datetime.datetime.now(datetime.timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ"), "fact_extraction_version": profile.version, "statistics": stats}
     write_atomic(Path(output, POINTER), json.dumps(manifest, ensure_ascii=False, indent=2) + "\n")
     return manifest
 
 
-def validate(spark: SparkSession, profile: Profile, output: str) -> list[str]:
-    """What doesn't hold in the current run, as sentences; empty if all does."""
+def recorded_sources(*records: DataFrame) -> DataFrame:
+    """source_id of all records, once each."""
+    ids = [r.select("source_id") for r in records]
+    return reduce(DataFrame.union, ids).distinct()
+
+
+def validate(spark: SparkSession, profile: Profile, output: str, root: str | None = None) -> list[str]:
+    """What doesn't hold in the current run, as sentences; empty if all does. With root, the bytes of masters are hashed anew."""
     run = current(output)
     if run is None:
         return ["there is no finished run"]
     t = {n: table(spark, output, n) for n in ("inventory", "sources", "pages", "facts", "dispositions", "context_checks", "documents", "datasets", "cells")}
-    stats, out = run["statistics"], []
+    stats, out = run["statistics"], manifest_faults(run)
     for name, key in (("inventory", "files"), ("sources", "sources"), ("pages", "pages"), ("facts", "facts"), ("dispositions", "dispositions")):
         if t[name].count() != stats[key]:
             out.append(f"{name} doesn't have the {stats[key]} rows of the manifest")
@@ -120,7 +158,9 @@ def validate(spark: SparkSession, profile: Profile, output: str) -> list[str]:
         out.append("fact ids repeat")
     if not t["facts"].join(t["sources"], "source_id", "left_anti").isEmpty():
         out.append("facts name unknown sources")
-    recorded = t["documents"].select("source_id").union(t["datasets"].select("source_id")).union(t["cells"].select("source_id")).distinct()
+    recorded = recorded_sources(t["documents"], t["datasets"], t["cells"])
+    if not recorded.join(t["sources"], "source_id", "left_anti").isEmpty():
+        out.append("records name unknown sources")
     routed = inventory.route(t["sources"]).filter("is_document or is_dataset")
     if not routed.join(recorded, "source_id", "left_anti").isEmpty():
         out.append("sources have no document or dataset record")
@@ -130,6 +170,10 @@ def validate(spark: SparkSession, profile: Profile, output: str) -> list[str]:
     kept = t["context_checks"].withColumn("fields", F.to_json("fields"))
     if not again.exceptAll(kept).isEmpty() or not kept.exceptAll(again).isEmpty():
         out.append("context checks are stale")
+    for m in table(spark, output, "masters").select("path", "sha256").collect() if root else ():
+        path = Path(root, m.path)
+        if not path.exists() or masters.file_sha256(path) != m.sha256:
+            out.append(f"the master {m.path} has changed")
     if run["fact_extraction_version"] != profile.version:
         out.append("the profile has changed since")
     return out
@@ -163,11 +207,3 @@ def export_json(df: DataFrame, path: str, order: list[str]) -> int:
         pending.unlink(missing_ok=True)
     return n
 
-
-def master_profile(spark: SparkSession, path: str, relative: str) -> dict:
-    """A master collection by reference: hash and counts of its records."""
-    with open(path, "rb") as s:
-        digest = hashlib.file_digest(s, "sha256").hexdigest().upper()
-    whole = spark.read.option("multiLine", True).json(path)
-    counts = {c: whole.agg(F.sum(F.size(c))).first()[0] for c in ("records", "composition_only_records", "screened_records") if c in whole.columns}
-    return {"path": relative, "sha256": digest, "record_counts": counts, "integration_mode": "referenced_not_copied"}

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from quarrylight.functions import text as X
 from quarrylight.operators import context, datasets, documents, facts, inventory, literature, merge, promotion
+from quarrylight.plans import binding, corpus
 from quarrylight.plans.profile import Profile, from_dict
 
 PROFILE: Profile = from_dict({
@@ -495,3 +496,88 @@ def dataset_tables(spark, sf_dir):
 def dataset_columns(spark, sf_dir):
     c = datasets.table_columns(_part_cells(spark, sf_dir))
     return c.select("source_id", "name", "nonempty_count", "missing_count", "distinct_count", "numeric_count", "min", "max", joined("sample_values").alias("samples"))
+
+
+#: Names by which parts are listed: by whole path, by name, below the root, with backslashes.
+LISTED = """CASE p_partkey % 5 WHEN 0 THEN '/corpus/paper/part ' || p_partkey || '.pdf' WHEN 1 THEN 'part ' || p_partkey || '.pdf' WHEN 2 THEN 'paper/part ' || p_partkey || '.pdf' ELSE 'paper/other ' || p_partkey || '.pdf' END"""
+
+
+@query(f"""WITH o AS (SELECT {LISTED} AS name, p_brand AS venue, p_size AS year FROM part UNION ALL SELECT 'part ' || p_partkey || '.pdf', 'by name', 1 FROM part WHERE p_partkey % 5 = 2)
+ SELECT p_partkey, CASE WHEN p_partkey % 5 = 2 THEN 'by name' WHEN p_partkey % 5 < 2 THEN p_brand END AS venue, CASE WHEN p_partkey % 5 = 2 THEN 1 WHEN p_partkey % 5 < 2 THEN p_size END AS year FROM part""")
+def override_priority(spark, sf_dir):
+    p = table(spark, sf_dir, "part")
+    files = p.select("p_partkey", F.expr("concat('/corpus/paper/part ', p_partkey, '.pdf')").alias("path"))
+    listed = p.select(F.expr(LISTED).alias("name"), F.col("p_brand").alias("venue"), F.col("p_size").alias("year"))
+    listed = listed.unionByName(p.filter("p_partkey % 5 = 2").select(F.expr("concat('part ', p_partkey, '.pdf')").alias("name"), F.lit("by name").alias("venue"), F.lit(1).alias("year")))
+    return literature.with_overrides(files, listed, ["/corpus"]).select("p_partkey", F.col("venue_o").alias("venue"), F.col("year_o").alias("year"))
+
+
+@query("""SELECT s_suppkey, CASE WHEN s_suppkey % 7 = 0 THEN 'unresolved' ELSE 'ready' END AS status, CASE WHEN s_suppkey % 7 = 0 THEN NULL WHEN s_suppkey % 3 = 0 THEN 'https://doi.org/10.1/x' || s_suppkey ELSE 'paper/N' || s_nationkey || '.pdf' END AS related_paper,
+ CASE WHEN s_suppkey % 7 = 0 THEN NULL WHEN s_suppkey % 3 = 0 THEN 'own' ELSE n_name END AS venue, CASE WHEN s_suppkey % 7 > 0 AND s_suppkey % 3 > 0
+ AND (n_regionkey = 1 OR count(*) OVER (PARTITION BY s_nationkey, s_suppkey % 7 = 0, s_suppkey % 3 = 0) > 1)
+ THEN row_number() OVER (PARTITION BY s_nationkey, s_suppkey % 7 = 0, s_suppkey % 3 = 0 ORDER BY lower(s_name)) + (n_regionkey = 1)::INT END AS attachment_number FROM supplier JOIN nation ON s_nationkey = n_nationkey""")
+def supplement_families(spark, sf_dir):
+    """Attachments with the DOI of one paper, of none, and of nothing known; papers of region 1 have attachment 1 in the ledger; an
+    attachment that is alone gets no number."""
+    n, s = table(spark, sf_dir, "nation"), table(spark, sf_dir, "supplier")
+    none = F.lit(None).cast("string")
+    alone, lost = F.col("s_suppkey") % 3 == 0, F.col("s_suppkey") % 7 == 0
+    sup = s.select(
+        "s_suppkey", "s_nationkey", F.col("s_name").alias("source"), F.concat(F.lit("h"), "s_suppkey").alias("hash"), F.lit(".pdf").alias("extension"),
+        F.when(lost, none).when(alone, F.concat(F.lit("10.1/x"), "s_suppkey")).otherwise(F.concat(F.lit("10.1/n"), "s_nationkey")).alias("doi"), F.when(alone & ~lost, "own").alias("venue"),
+        F.when(alone & ~lost, F.lit(2020)).alias("year"), F.when(alone & ~lost, F.col("s_name")).alias("title"), none.alias("related_paper"), F.lit(None).cast("int").alias("attachment_number"),
+    )
+    mains = n.select(F.concat(F.lit("10.1/n"), "n_nationkey").alias("doi"), F.col("n_name").alias("venue"), F.lit(2020).alias("year"), F.col("n_name").alias("title"), F.concat(F.lit("paper/N"), "n_nationkey", F.lit(".pdf")).alias("target"))
+    ledger = n.filter("n_regionkey = 1").select(F.concat(F.lit("paper/SI - "), "n_name", F.lit(" - 2020.pdf")).alias("path"), F.col("n_name").alias("title"), F.lit("2020").alias("year"), F.col("n_name").alias("venue"), F.lit("old").alias("hash"))
+    out = literature.resolve_supplements(sup, mains, ledger)
+    return out.select("s_suppkey", "status", "related_paper", "venue", F.col("attachment_number").cast("bigint").alias("attachment_number"))
+
+
+def _promoted(spark, sf_dir) -> DataFrame:
+    p = table(spark, sf_dir, "part")
+    new = promotion.new_measurements(promotion.pair_measurements(_varied(spark, sf_dir).filter(promotion.reject_reason(F.col("sentence")).isNull())), spark.createDataFrame([], "formula_key string, property string, value double, unit string, temperature_c double"))
+    return promotion.records(new, p.select(F.col("p_partkey").cast("string").alias("source_id"), F.col("p_name").alias("title"), F.lit(None).cast("string").alias("doi"), F.col("p_name").alias("path")), "2020-01-01")
+
+
+@query("""WITH p AS (SELECT * FROM part WHERE p_partkey % 16 IN (0, 4, 13)) SELECT p_partkey::VARCHAR AS source_id, 'LaSrO3' AS formula, 1::BIGINT AS n, CASE p_partkey % 16 WHEN 0 THEN 'ASR' WHEN 4 THEN 'peak_power_density' ELSE 'oxygen_surface_exchange_coefficient' END AS property,
+ CASE WHEN p_partkey % 16 = 0 THEN 'air' END AS atmosphere, CASE WHEN p_partkey % 16 = 4 OR (p_partkey % 16 = 0 AND p_size = 25) THEN 'high' ELSE 'normal' END AS priority, p_name AS title FROM p""")
+def promotion_records(spark, sf_dir):
+    made = _promoted(spark, sf_dir)
+    rank = promotion.review_queue(made).select("evidence_id", "priority")
+    m = made.select("source_id", "formula", F.size("measurements").cast("bigint").alias("n"), F.col("external_source.title").alias("title"), F.explode("measurements").alias("m"))
+    return m.select("source_id", "formula", "n", "m.property", F.col("m.test_context.atmosphere").alias("atmosphere"), "title", F.col("m.evidence_id").alias("evidence_id")).join(rank, "evidence_id").drop("evidence_id")
+
+
+@query("""SELECT n AS records, n AS measurements, n AS directly_reported, 0 AS electrolyte, 0 AS test_method, 0 AS synthesis_method, n AS page, 0 AS figure, 0 AS "table", 0 AS sheet_row, n AS exact_original_sentence FROM (SELECT count(*) AS n FROM part WHERE p_partkey % 16 IN (0, 4, 13))""")
+def promotion_coverage(spark, sf_dir):
+    return promotion.coverage_counts(_promoted(spark, sf_dir))
+
+
+@query("SELECT id AS source_id FROM (SELECT doc_id::VARCHAR AS id FROM documents UNION SELECT doc_id::VARCHAR FROM labels UNION SELECT page_id::VARCHAR FROM pages)")
+def recorded_sources(spark, sf_dir):
+    ids = [table(spark, sf_dir, t).select(F.col(c).cast("string").alias("source_id")) for t, c in (("documents", "doc_id"), ("labels", "doc_id"), ("pages", "page_id"))]
+    return corpus.recorded_sources(*ids)
+
+
+@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 11 = 0 THEN 'missing' WHEN o_orderkey % 7 = 0 THEN 'unknown' ELSE 'changed' END AS change FROM orders WHERE NOT (o_orderkey % 11 = 0 AND o_orderkey % 7 = 0) AND (o_orderkey % 11 = 0 OR o_orderkey % 7 = 0 OR o_orderkey % 5 = 0)""")
+def stale_bindings(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
+    old = o.filter("o_orderkey % 11 <> 0")
+    new = o.filter("o_orderkey % 7 <> 0").withColumn("o_orderpriority", F.when(F.col("o_orderkey") % 5 == 0, "other").otherwise(F.col("o_orderpriority")))
+    return binding.stale(old, new, "o_orderkey")
+
+
+@query("""SELECT p_partkey::VARCHAR AS name FROM part WHERE p_partkey % 4 = 0 UNION ALL SELECT p_partkey::VARCHAR FROM part WHERE p_partkey % 4 = 1 AND p_partkey % 3 = 0""")
+def organiser_scan(spark, sf_dir):
+    """PDFs, attachments by name, other files, and files that are organised already."""
+    path = "CASE p_partkey % 4 WHEN 0 THEN 'in/' || p_partkey || '.PDF' WHEN 1 THEN 'in/' || CASE WHEN p_partkey % 3 = 0 THEN 'SI_' ELSE 'basis_' END || p_partkey || '.xlsx' WHEN 2 THEN 'in/' || p_partkey || '.html' ELSE 'out/' || p_partkey || '.pdf' END"
+    found = literature.scan(table(spark, sf_dir, "part").select(F.expr(path).alias("path")), "out")
+    return found.select(F.regexp_extract("path", r"(\d+)\.", 1).alias("name"))
+
+
+@query("""WITH u AS (SELECT html, min(url) AS url FROM pages GROUP BY html) SELECT (SELECT count(*) FROM pages) AS scanned, (SELECT count(*) FROM pages) AS ready_before_dedup, (SELECT count(*) FROM u) AS planned_unique, (SELECT count(*) FROM u) AS planned_paper, 0 AS planned_patent, 0 AS planned_thesis,
+ 0 AS unresolved_count, 0 AS excluded_count, (SELECT count(*) FROM (SELECT html FROM pages GROUP BY html HAVING count(*) > 1)) AS exact_duplicate_groups, 0 AS bibliographic_duplicates, 6 + max(length(sha256(html))) AS longest_target_path_chars, 0 AS filename_collisions FROM pages""")
+def organiser_summary(spark, sf_dir):
+    p = table(spark, sf_dir, "pages").select(F.col("url").alias("path"), F.sha2("html", 256).alias("hash"), F.lit(0).alias("penalty"), F.lit(None).cast("string").alias("key"), F.lit("paper").alias("category"))
+    plan = literature.canonical_files(p)
+    return literature.plan_summary(plan.withColumn("target", F.when(F.col("status") == "canonical", F.concat(F.lit("paper/"), "hash"))))

@@ -70,6 +70,39 @@ def inventory(spark: SparkSession, profile: Profile, root: str) -> DataFrame:
     return names.repartition(n).mapInPandas(run, "category string, path string, extension string, size_bytes long, sha256 string, read_error string")
 
 
+def batch_hashes(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """sha256 (upper case) of the files below folders, of single files, and of the members of ZIPs that are named themselves; once each.
+    A missing path raises."""
+    listed = []
+    for path in paths:
+        if os.path.isdir(path):
+            listed += [(os.path.join(folder, n), False) for folder, _, names in os.walk(path) for n in names]
+        elif os.path.isfile(path):
+            listed.append((path, path.lower().endswith(".zip")))
+        else:
+            raise FileNotFoundError(path)
+
+    def digest(stream) -> str:
+        h = hashlib.sha256()
+        while part := stream.read(CHUNK):
+            h.update(part)
+        return h.hexdigest().upper()
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            for path, archive in zip(f["path"], f["archive"]):
+                if archive:
+                    with zipfile.ZipFile(path) as z:
+                        found = [digest(z.open(m)) for m in z.infolist() if not m.is_dir()]
+                else:
+                    with open(path, "rb") as s:
+                        found = [digest(s)]
+                yield pd.DataFrame({"sha256": found}, dtype=object)
+
+    names = spark.createDataFrame(listed, "path string, archive boolean")
+    return names.repartition(spark.sparkContext.defaultParallelism).mapInPandas(run, "sha256 string").distinct()
+
+
 def contents(sources: DataFrame, root: str) -> DataFrame:
     """sources with a column content (binary)."""
     from pyspark.sql.types import BinaryType, StructField, StructType
