@@ -170,7 +170,7 @@ START_GRAM = mix64(np.array([xxhash.xxh3_64_intdigest(b" ")], np.uint64))[0]
 
 
 def _answer(frame: pd.DataFrame, n_buckets: int) -> pd.DataFrame:
-    """Counts over all blocks, sent back to each block in the order it asked; a row of name 0 with the number of known tokens."""
+    """Counts over all blocks, sent back to each block in the order it asked; a row without a blob with the number of known tokens."""
     bucket = int(frame["bucket"].iloc[0])
     edge = _edges(n_buckets)[bucket]
     asked = [split_blobs(b) for b in frame["blob"]]
@@ -192,7 +192,7 @@ def _answer(frame: pd.DataFrame, n_buckets: int) -> pd.DataFrame:
         for r, a in zip(replies, each):
             r.append(pack(full[at : at + len(a)]))
             at += len(a)
-    return pd.DataFrame({"name": [*frame["name"], 0], "bucket": [bucket] * (len(replies) + 1), "blob": [*map(join_blobs, replies), known.to_bytes(8, "little")]})
+    return pd.DataFrame({"name": [*frame["name"], 0], "bucket": [bucket] * (len(replies) + 1), "blob": [*map(join_blobs, replies), None], "known": [0] * len(replies) + [known]})
 
 
 class Automaton:
@@ -295,9 +295,8 @@ def score_documents(df: DataFrame, key: str, text: str, order: int = ORDER, mu:
         out["train"] = [0] * (len(out) - 1) + [int(frame["train"].sum())]
         return out
 
-    answers = cut(asked.groupBy("bucket").applyInPandas(answer, _ROW + ", train long"), "counts")
-    sums = answers.filter("length(blob) = 8 and name = 0").select("blob", "train").toPandas()
-    n_train, n_known = int(sums["train"].sum()), sum(int.from_bytes(x, "little") for x in sums["blob"])
+    answers = cut(asked.groupBy("bucket").applyInPandas(answer, _ROW + ", known long, train long"), "counts")
+    n_train, n_known = (int(x or 0) for x in answers.filter("blob IS NULL").agg(F.sum("train"), F.sum("known")).first())
 
     def hold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in blocks(batches):
@@ -316,6 +315,6 @@ def score_documents(df: DataFrame, key: str, text: str, order: int = ORDER, mu:
             out.append(pd.DataFrame({"key": pd.Series(b.keys, dtype=object), "held_out": b.held, "n_tokens": b.sizes, "n_known": known, "train_tokens": n_train, "base_score": base, "score": score}))
         return pd.concat(out) if out else pd.DataFrame(columns=["key", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    both = docs.mapInArrow(hold, _ROW).unionByName(answers.filter("length(blob) <> 8 or name <> 0").select("name", "bucket", "blob"))
+    both = docs.mapInArrow(hold, _ROW).unionByName(answers.filter("blob IS NOT NULL").select("name", "bucket", "blob"))
     out = both.groupBy("name").applyInPandas(finish, f"key {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
     return out.withColumnRenamed("key", key)
