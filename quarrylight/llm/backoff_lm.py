@@ -82,24 +82,28 @@ class Block:
     def grams(self, order: int) -> list[Grams]:
         """N-grams of 1 to order words that end at a token; those of one word are all local numbers, START among them."""
         one = mix64(self.words)
-        rank = np.argsort(one)
-        number = np.empty(len(one), np.int64)
-        number[rank] = np.arange(len(one))
+        rank = np.argsort(one).astype(np.int32)  # places are below 2^31: a block is little more than one text
+        number = np.empty(len(one), np.int32)
+        number[rank] = np.arange(len(one), dtype=np.int32)
         out = [Grams(one[rank], rank, number[self.tokens])]
-        word, at, within = self.words[self.tokens], one[self.tokens], np.arange(len(self.tokens)) - np.repeat(self.first, self.sizes)
+        at, within = one[self.tokens], np.arange(len(self.tokens), dtype=np.int32) - np.repeat(self.first.astype(np.int32), self.sizes)
         for n in range(2, order + 1):
             history = np.empty_like(at)
             history[1:] = at[:-1]
             if n == 2:
                 history[self.first] = one[START]
-            at = mix64(history * _PAIR + word)
-            ends = np.flatnonzero(within >= n - 2)
+            history *= _PAIR
+            history += self.words[self.tokens]
+            at = mix64(history)
+            del history
+            ends = np.flatnonzero(within >= n - 2).astype(np.int32)
             h = at[ends]
-            rank = np.argsort(h)
-            new = np.concatenate([[True], h[rank][1:] != h[rank][:-1]]) if len(h) else np.empty(0, bool)
-            number = np.full(len(self.tokens), -1, np.int64)
-            number[ends[rank]] = np.cumsum(new) - 1
-            out.append(Grams(h[rank][new], ends[rank][new], number))
+            rank = np.argsort(h).astype(np.int32)
+            h, ends = h[rank], ends[rank]
+            new = np.concatenate([[True], h[1:] != h[:-1]]) if len(h) else np.empty(0, bool)
+            number = np.full(len(self.tokens), -1, np.int32)
+            number[ends] = np.cumsum(new, dtype=np.int32) - 1
+            out.append(Grams(h[new], ends[new], number))
         return out
 
 
@@ -128,10 +132,14 @@ def blocks(batches: Iterator[pa.RecordBatch], size: int = BLOCK) -> Iterator[Blo
             parts.append(np.array(got, np.int32))
             n += len(raw) + 1
             if n >= size:
-                yield done()
-                keys, sizes, parts, n, ids = [], [], [], 0, fresh()
+                block = done()
+                keys, sizes, parts, n, ids, raw, got = [], [], [], 0, fresh(), b"", []  # not kept while the block is in use
+                yield block
+                del block
     if keys:
-        yield done()
+        block = done()
+        parts, ids = [], {}
+        yield block
 
 
 def _edges(n_buckets: int) -> np.ndarray:
@@ -263,6 +271,7 @@ def _score(b: Block, replies: dict[int, bytes], n_buckets: int, n_train: int, n_
         for c, p, reply in zip(counts, part, split_blobs(replies[k])):
             c[p] = unpack(reply)
     auto = Automaton(b, grams, counts, n_train, n_known, mu)
+    del counts
     one = grams[0].number
     known = np.add.reduceat(auto.seen[0][one].astype(np.int64), b.first)
     return known, np.add.reduceat(auto.arcs[0][one], b.first), auto.traverse(b.sizes)
