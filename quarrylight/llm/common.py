@@ -68,7 +68,6 @@ def cut(df: DataFrame, label: str, compression: str = "zstd") -> DataFrame:
     spark = df.sparkSession
     path = f"{run_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.option("compression", compression).parquet(path)
-    spark._jvm.System.gc()  # shuffle files that nothing needs any more go when the driver's JVM finds their plans unused
     return spark.read.schema(df.schema).parquet(path)
 
 
