@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import atexit
-import ctypes
 import shutil
 import tempfile
 import uuid
@@ -13,11 +12,6 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Arrays from this size on go back to the system when they are freed: a worker that later stages use again keeps none of them.
-RETURNED, _M_MMAP_THRESHOLD = 1 << 20, -3
-if hasattr(_libc := ctypes.CDLL(None), "mallopt"):  # glibc
-    _libc.mallopt(_M_MMAP_THRESHOLD, RETURNED)
-
 _OWN_DIR: list[str] = []
 _RUNS: dict[str, str] = {}
 
