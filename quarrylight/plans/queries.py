@@ -528,7 +528,8 @@ def supplement_families(spark, sf_dir):
         F.when(alone & ~lost, F.lit(2020)).alias("year"), F.when(alone & ~lost, F.col("s_name")).alias("title"), none.alias("related_paper"), F.lit(None).cast("int").alias("attachment_number"),
     )
     mains = n.select(F.concat(F.lit("10.1/n"), "n_nationkey").alias("doi"), F.col("n_name").alias("venue"), F.lit(2020).alias("year"), F.col("n_name").alias("title"), F.concat(F.lit("paper/N"), "n_nationkey", F.lit(".pdf")).alias("target"))
-    ledger = n.filter("n_regionkey = 1").select(F.concat(F.lit("paper/SI - "), "n_name", F.lit(" - 2020.pdf")).alias("path"), F.col("n_name").alias("title"), F.lit("2020").alias("year"), F.col("n_name").alias("venue"), F.lit("old").alias("hash"))
+    listed = literature.target_name(F.lit("paper"), F.concat(F.lit("SI - "), "n_name"), F.lit("2020"), F.col("n_name"), F.lit(".pdf"))  # without its title the year would be the number
+    ledger = n.filter("n_regionkey = 1").select(listed.alias("path"), F.col("n_name").alias("title"), F.lit("2020").alias("year"), F.col("n_name").alias("venue"), F.lit("old").alias("hash"))
     out = literature.resolve_supplements(sup, mains, ledger)
     return out.select("s_suppkey", "status", "related_paper", "venue", F.col("attachment_number").cast("bigint").alias("attachment_number"))
 

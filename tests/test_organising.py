@@ -47,6 +47,16 @@ def test_supplements_keep_places_and_numbers(spark):
         literature.resolve_supplements(sup.withColumn("attachment_number", F.lit(0)), mains, ledger)
 
 
+def test_numbers_in_ledger_names(spark):
+    """The organiser's own names: a last part of digits is the number, else it is 1; a year in last place counts as one, too."""
+    one = spark.createDataFrame([("V", "2020", "T", ".PDF")], "venue string, year string, title string, extension string")
+    made = one.select(literature.target_name(F.lit("paper"), F.concat(F.lit("SI - "), "venue"), F.col("year"), F.col("title"), F.col("extension"))).first()[0]
+    assert made == "paper/SI - V - 2020 - T.PDF"
+    names = [made, "paper/SI - V - 2020 - T - 03.xlsx", "paper/SI - V - 2020.pdf", "paper/V - 2020 - T.pdf"]
+    ledger = spark.createDataFrame([(n, "T", "2020", "V", "h") for n in names], "path string, title string, year string, venue string, hash string")
+    assert {(r.path, r.number, r.extension) for r in literature.attached(ledger).collect()} == {(names[0], 1, ".pdf"), (names[1], 3, ".xlsx"), (names[2], 2020, ".pdf")}
+
+
 def test_apply_plan(spark, tmp_path):
     for n, b in (("x", b"one"), ("y", b"one"), ("z", b"two")):
         (tmp_path / n).write_bytes(b)
