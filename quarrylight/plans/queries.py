@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarrylight.functions import text as X
-from quarrylight.operators import context, datasets, documents, facts, inventory, literature, merge, promotion
+from quarrylight.operators import context, datasets, documents, facts, inventory, lineage, literature, merge, promotion
 from quarrylight.plans import binding, corpus
 from quarrylight.plans.profile import Profile, from_dict
 
@@ -203,8 +203,9 @@ def context_needs_review(spark, sf_dir):
 
 
 def _halves(spark, sf_dir):
-    f = document_facts(spark, sf_dir)
-    old = inventory.canonical_sources(document_rows(spark, sf_dir)).filter("cast(path AS BIGINT) % 2 = 0").select("source_id")
+    # both halves are read from one extraction; sources are told apart without their texts
+    f = lineage.cut(document_facts(spark, sf_dir), "facts")
+    old = inventory.canonical_sources(document_rows(spark, sf_dir).drop("text", "lang")).filter("cast(path AS BIGINT) % 2 = 0").select("source_id")
     return f, f.join(old, "source_id", "left_semi")
 
 
