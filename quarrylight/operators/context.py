@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarrylight.functions import text as X
@@ -17,17 +17,26 @@ LOCATED, REVIEW = "located_in_cached_page", "locator_needs_review"
 def locate(facts: DataFrame, pages: DataFrame) -> DataFrame:
     """facts with locator_status: exactly one page of that number, the text (white space aside) on it, and a span, if there is one,
     of right identity, unit, bounds and hashes that holds that text."""
-    own = pages.groupBy("source_id", "page").agg(F.count(F.lit(1)).alias("__n"), F.min("text").alias("__text"))
-    f = facts.join(own, ["source_id", "page"], "left")
-    text, s = F.coalesce("__text", F.lit("")), F.col("source_span")
-    wide = F.encode(text, "UTF-16LE")
-    raw = F.expr("decode(substring(encode(coalesce(__text, ''), 'UTF-16LE'), cast(source_span.start * 2 + 1 AS INT), cast((source_span.end - source_span.start) * 2 AS INT)), 'UTF-16LE')")
-    bounds = (s["start"] >= 0) & (s["start"] < s["end"]) & (s["end"] * 2 <= F.octet_length(wide))
-    same = (s["source_id"] == F.col("source_id")) & (s["page"] == F.col("page")) & (s["offset_unit"] == "utf16_code_units") & (F.lower(s["page_sha256"]) == F.sha2(text, 256))
-    span_ok = s.isNull() | F.coalesce(same & bounds & F.when(bounds, (F.sha2(raw, 256) == F.lower(s["raw_text_sha256"])) & (X.compact(raw) == X.compact(F.col("evidence_text")))), F.lit(False))
-    evidence = F.coalesce("evidence_text", F.lit(""))
-    ok = (F.col("page") >= 1) & (F.col("__n") == 1) & (X.compact(evidence) != "") & F.contains(X.compact(text), X.compact(evidence)) & span_ok
-    return f.withColumn("locator_status", F.when(F.coalesce(ok, F.lit(False)), LOCATED).otherwise(REVIEW)).drop("__n", "__text")
+    key = ["source_id", "page"]
+    n = pages.groupBy(*key).agg(F.count(F.lit(1)).alias("__n"))
+    f = facts.groupBy(*key).agg(F.collect_list(F.struct(*facts.columns)).alias("__facts")).join(n, key, "left")
+    # only pages that have facts and stand once bring their text, and each is normalised once for all its facts
+    p = pages.select(F.col("source_id").alias("__source"), F.col("page").alias("__page"), F.coalesce("text", F.lit("")).alias("__text"))
+    f = f.join(p, (F.col("source_id") == F.col("__source")) & (F.col("page") == F.col("__page")) & (F.col("__n") == 1), "left")
+    text = F.col("__text")
+    page = F.struct(X.compact(text).alias("dense"), F.sha2(text, 256).alias("hash"), F.encode(text, "UTF-16LE").alias("wide"))
+
+    def located(g: Column, x: Column) -> Column:
+        s, evidence = x["source_span"], X.compact(F.coalesce(x["evidence_text"], F.lit("")))
+        raw = F.decode(F.substring(g["wide"], (s["start"] * 2 + 1).cast("int"), ((s["end"] - s["start"]) * 2).cast("int")), "UTF-16LE")
+        bounds = (s["start"] >= 0) & (s["start"] < s["end"]) & (s["end"] * 2 <= F.octet_length(g["wide"]))
+        same = (s["source_id"] == x["source_id"]) & (s["page"] == x["page"]) & (s["offset_unit"] == "utf16_code_units") & (F.lower(s["page_sha256"]) == g["hash"])
+        span_ok = s.isNull() | F.coalesce(same & bounds & F.when(bounds, (F.sha2(raw, 256) == F.lower(s["raw_text_sha256"])) & (X.compact(raw) == X.compact(x["evidence_text"]))), F.lit(False))
+        return (x["page"] >= 1) & (evidence != "") & F.contains(g["dense"], evidence) & span_ok
+
+    checked = X.let(page, lambda g: F.transform("__facts", lambda x: F.struct(x.alias("f"), F.when(F.coalesce(located(g, x), F.lit(False)), LOCATED).otherwise(REVIEW).alias("locator_status"))))
+    rest = [F.col(f"x.f.{c}") for c in facts.columns if c not in key]
+    return f.select(F.explode(checked).alias("x")).select(*(F.col(f"x.f.{c}") for c in key), *rest, "x.locator_status")
 
 
 def context_checks(located: DataFrame, profile: Profile) -> DataFrame:
