@@ -8,8 +8,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed values of the evidence contract.
-SPLIT_PROSE = r"(?<=[.!?。！？;；])\s+|\n[ \t]*\n+"
-SPLIT_TABLE = r"(?<=[.!?。！？;；])\s+|\n+"
+# (both begin with white space: looking for that first spares the other characters both alternatives)
+SPLIT_PROSE = r"(?=\s)(?:(?<=[.!?。！？;；])\s+|\n[ \t]*\n+)"
+SPLIT_TABLE = r"(?=\s)(?:(?<=[.!?。！？;；])\s+|\n+)"
 TABLE_PAGE = r"(?:^|\n)\s*Table\s+(?:S?\d+|[IVX]+)\b"
 DOI = r"10\.\d{4,9}/[-._;()/:A-Z0-9]+"
 TEMPERATURE = r"(?<!\d)(-?\d+(?:\.\d+)?)\s*(?:°\s*)?[CK](?![A-Za-z])"

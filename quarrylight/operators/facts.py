@@ -48,19 +48,24 @@ def fact_candidates(pages: DataFrame, profile: Profile) -> DataFrame:
     Null texts count as empty. Of equal sentences on a page the first stays, sentences before table rows.
     """
     p = pages.select("source_id", "page", F.coalesce("text", F.lit("")).alias("text")).withColumn("is_table", X.is_table_page(F.col("text")))
+    # once a page, not once a candidate
+    p = p.withColumn("dense", X.compact(F.col("text"))).withColumn("page_hash", F.sha2("text", 256))
     text, table = F.col("text"), F.col("is_table")
     rule = F.when(table, F.lit(X.java(X.SPLIT_TABLE))).otherwise(F.lit(X.java(X.SPLIT_PROSE)))
     no_rows = F.array().cast("array<struct<piece:string,start:int,end:int>>")
     found = F.struct(
-        X.pieces(text, rule).alias("said"), F.when(table, X.let(_table_lines(text, profile), _table_rows)).otherwise(no_rows).alias("rows"),
+        F.split(text, rule, -1).alias("said"), F.when(table, X.let(_table_lines(text, profile), _table_rows)).otherwise(no_rows).alias("rows"),
         F.coalesce(F.when(table, X.themes(F.left(text, F.lit(PAGE_HEAD)), profile.keyword_groups)), F.array().cast("array<string>")).alias("themes"),
     )
 
     def screened(f: Column) -> Column:
         """Candidates of one page, so that only these are copied out of it."""
-        said = F.transform(f["said"], lambda x: F.struct(F.lit(False).alias("row"), x["piece"].alias("piece"), x["start"].alias("start"), F.lit(None).cast("int").alias("end")))
-        both = F.concat(said, F.transform(f["rows"], lambda x: F.struct(F.lit(True).alias("row"), x["piece"].alias("piece"), x["start"].alias("start"), x["end"].alias("end"))))
-        clean = F.transform(both, lambda x, i: x.withField("ord", i).withField("s", X.one_line(x["piece"])))
+        nowhere = F.lit(None).cast("int")
+        said = F.transform(f["said"], lambda x, i: F.struct(F.lit(False).alias("row"), x.alias("piece"), nowhere.alias("start"), nowhere.alias("end"), i.alias("ord")))
+        rows = F.transform(f["rows"], lambda x, i: F.struct(F.lit(True).alias("row"), x["piece"].alias("piece"), x["start"].alias("start"), x["end"].alias("end"), (F.size(f["said"]) + i).alias("ord")))
+        # a piece never grows when it is put on one line
+        long = F.filter(F.concat(said, rows), lambda x: F.length(x["piece"]) >= X.SHORTEST)
+        clean = F.transform(long, lambda x: x.withField("s", X.one_line(x["piece"])))
         fits = F.filter(clean, lambda x: F.length(x["s"]).between(X.SHORTEST, X.LONGEST))
 
         def singled_out(x: Column) -> Column:
@@ -70,14 +75,12 @@ def fact_candidates(pages: DataFrame, profile: Profile) -> DataFrame:
 
         return F.transform(F.filter(fits, singled_out), lambda x: x.withField("page_themes", f["themes"]))
 
-    c = p.select("source_id", "page", "text", F.explode(X.let(found, screened)).alias("c"))
-    c = c.select("source_id", "page", "text", "c.ord", "c.row", "c.s", "c.piece", "c.start", "c.end", "c.page_themes")
+    c = p.select("source_id", "page", "text", "dense", "page_hash", F.explode(X.let(found, screened)).alias("c"))
+    c = c.select("source_id", "page", "text", "dense", "page_hash", "c.ord", "c.row", "c.s", "c.piece", "c.start", "c.end", "c.page_themes")
     s, row, piece = F.col("s"), F.col("row"), F.col("piece")
     values = F.transform(X.find_all(s, profile.value_unit_pattern, True), X.strip)
     c = c.select(
-        "source_id", "page", "text", "ord", "s", "row", X.themes(s, profile.keyword_groups).alias("own"), "page_themes", values.alias("values"),
-        F.when(row, F.col("start")).otherwise(F.col("start") + F.length(F.regexp_extract(piece, r"(?U)^\s*", 0))).alias("start"),
-        F.when(row, F.col("end")).otherwise(F.col("start") + F.length(F.regexp_replace(piece, r"(?U)\s+$", ""))).alias("end"),
+        "source_id", "page", "text", "dense", "page_hash", "ord", "s", "row", "piece", "start", "end", X.themes(s, profile.keyword_groups).alias("own"), "page_themes", values.alias("values"),
         X.sorted_set(X.find_all(s, profile.formula_pattern, False, profile.formula_group)).alias("formulas"),
     )
     c = c.withColumn("themes", F.when(row, X.sorted_set(F.concat("own", "page_themes"))).otherwise(F.col("own")))
@@ -85,13 +88,15 @@ def fact_candidates(pages: DataFrame, profile: Profile) -> DataFrame:
     temperatures = F.when(row, X.sorted_set(F.transform(X.find_all(s, X.TABLE_TEMPERATURE, True), X.strip))).otherwise(F.transform(X.find_all(s, X.TEMPERATURE, True), X.strip))
     c = c.withColumn("temperatures", temperatures)
 
-    needle, page_text = X.compact(s), X.compact(text)
-    at = F.position(needle, page_text)
-    unique = (at > 0) & (F.position(needle, page_text, at + 1) == 0)
-    raw = F.substr(text, F.col("start") + 1, F.col("end") - F.col("start"))
-    a = X.utf16_length(F.left(text, F.col("start")))
-    z = X.utf16_length(F.left(text, F.col("end")))
-    page_hash = F.sha2(text, 256)
+    # a span is given only where the text without white space occurs once on its page; the piece then occurs once too, so that a sentence's place is found by its text
+    stripped = F.regexp_replace(F.regexp_replace(piece, r"(?U)\s+$", ""), r"(?U)^\s+", "")
+    raw, needle, dense, at, page_hash = (F.col(n) for n in ("raw", "needle", "dense", "at", "page_hash"))
+    c = c.withColumn("needle", X.compact(s)).withColumn("at", F.position(F.col("needle"), dense))
+    c = c.withColumn("unique", (at > 0) & (F.position(needle, dense, at + 1) == 0))
+    c = c.withColumn("raw", F.when(F.col("unique"), F.when(row, F.substr(text, F.col("start") + 1, F.col("end") - F.col("start"))).otherwise(stripped)))
+    c = c.withColumn("located", F.coalesce(X.compact(raw) == needle, F.lit(False)))
+    c = c.withColumn("a", F.when(F.col("located"), X.utf16_length(F.left(text, F.when(row, F.col("start")).otherwise(F.position(raw, text) - 1)))))
+    a, z = F.col("a"), F.col("a") + X.utf16_length(raw)
     span = F.struct(
         X.stable_id("span", F.col("source_id"), F.col("page").cast("string"), page_hash, a.cast("string"), z.cast("string")).alias("span_id"),
         "source_id", "page", page_hash.alias("page_sha256"), a.alias("start"), z.alias("end"), F.lit("utf16_code_units").alias("offset_unit"), F.sha2(raw, 256).alias("raw_text_sha256"),
@@ -100,7 +105,7 @@ def fact_candidates(pages: DataFrame, profile: Profile) -> DataFrame:
         X.fact_id(F.col("source_id"), F.col("page"), s).alias("fact_id"), "source_id", "page", s.alias("evidence_text"), "themes",
         F.col("formulas").alias("material_formula_candidates"), F.col("values").alias("numeric_value_candidates"), F.col("temperatures").alias("temperature_candidates"),
         F.when(row, TABLE_ROW).otherwise(SENTENCE).alias("extraction_method"), F.lit(CANDIDATE).alias("verification_status"),
-        X.confidence(F.col("values"), F.col("themes"), F.col("formulas")).alias("confidence"), F.when(unique & (X.compact(raw) == needle), span).alias("source_span"), "ord",
+        X.confidence(F.col("values"), F.col("themes"), F.col("formulas")).alias("confidence"), F.when(F.col("located"), span).alias("source_span"), "ord",
     )
     # without the pages' texts
     first = Window.partitionBy("source_id", "page", "evidence_text").orderBy("ord")

@@ -93,8 +93,8 @@ def dedup_aliases(spark, sf_dir):
 
 @query(f"WITH c AS (SELECT doc_id, {CUT} AS raw FROM documents), s AS (SELECT doc_id, {SQUEEZE.format('raw')} AS sentence FROM c) SELECT doc_id, sentence, count(*) AS n FROM s WHERE length(sentence) BETWEEN 35 AND 1600 GROUP BY 1, 2")
 def sentence_split(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").select("doc_id", F.explode(X.pieces(F.col("text"), F.lit(X.java(X.SPLIT_PROSE)))).alias("p"))
-    s = d.select("doc_id", X.one_line(F.col("p.piece")).alias("sentence"))
+    d = table(spark, sf_dir, "documents").select("doc_id", F.explode(F.split("text", F.lit(X.java(X.SPLIT_PROSE)), -1)).alias("piece"))
+    s = d.select("doc_id", X.one_line(F.col("piece")).alias("sentence"))
     return s.filter(F.length("sentence").between(X.SHORTEST, X.LONGEST)).groupBy("doc_id", "sentence").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -140,7 +140,8 @@ def confidence_split(spark, sf_dir):
 @query(rf"""WITH {FACTS}, w AS (SELECT f.fact_id, f.s, c.text, regexp_replace(f.s, '\s+', '', 'g') AS needle, regexp_replace(c.text, '\s+', '', 'g') AS hay FROM facts f JOIN canon1 c USING (source_id))
  SELECT fact_id, position(needle IN hay) > 0 AND position(needle IN substr(hay, position(needle IN hay) + 1)) = 0 AS located, sha256(text) AS page_sha256 FROM w""")
 def span_uniqueness(spark, sf_dir):
-    c = inventory.canonical_sources(document_rows(spark, sf_dir)).select("source_id", F.sha2("text", 256).alias("page_sha256"))
+    # a text's page is its content
+    c = inventory.canonical_sources(document_rows(spark, sf_dir).drop("text", "lang")).select("source_id", F.lower("sha256").alias("page_sha256"))
     return document_facts(spark, sf_dir).join(c, "source_id").select("fact_id", F.col("source_span").isNotNull().alias("located"), "page_sha256")
 
 

@@ -33,3 +33,14 @@ def test_locating_moves_a_text_once_and_normalises_it_once_a_page(spark):
     located = context.locate(found, pages.union(page(spark, "", said[0]).filter("source_id = 's1'")))
     assert "min(text" not in plan(located) and "SortAggregate" not in plan(located, "executedPlan")
     assert {r.source_id: (r.n, r.st) for r in located.groupBy("source_id").agg(F.count(F.lit(1)).alias("n"), F.collect_set("locator_status").alias("st")).collect()} == {"s0": (30, ["located_in_cached_page"]), "s1": (1, ["locator_needs_review"])}
+
+
+def test_extraction_normalises_and_hashes_a_page_once(spark):
+    said = ["😀 The first word of this page stands alone here.", "The second word of this page is said twice.", "The second word of this page is said twice.\xa0"]
+    text = "\n\n".join(said)
+    found = facts.fact_candidates(page(spark, text), LETTERS)
+    assert plan(found).count("sha2(cast(text") == 1
+    got = {r.evidence_text: r.source_span for r in found.collect()}
+    assert len(got) == 2 and got[said[1]] is None
+    span = got[said[0]]
+    assert text.encode("utf-16-le")[2 * span.start : 2 * span.end].decode("utf-16-le") == said[0]
