@@ -68,20 +68,25 @@ def pair_measurements(rows: DataFrame, temperature_pattern: str = X.TEMPERATURE)
     t = F.transform(X.find_all(s, temperature_pattern, True, 1), lambda x: x.try_cast("double"))
     r = rows.filter(F.col("formula").isNotNull()).withColumn("t", t).filter((F.size("t") > 0) & ~F.exists("t", lambda x: (x < COOLEST) | (x > HOTTEST)))
     own = ["source_id", "page", "sentence", "formula", *(c for c in ("ord",) if c in rows.columns)]
-    found = []
-    for name, (pattern, unit) in PROPERTIES.items():
-        values = F.transform(X.find_all(s, pattern, True, 1), X.parse_number)
-        units = F.transform(X.find_all(s, pattern, True, 2), lambda u: F.when(F.lower(u) == "mw", "mW/cm²").otherwise("W/cm²")) if unit is None else F.transform(values, lambda _: F.lit(unit))
-        reason = F.when(F.size(values) != F.size("t"), "unpaired_value_temperature")
-        if name == "ASR":
-            reason = F.when(F.size(X.find_all(s, OHM, True)) != F.size(values), "multiple_unpaired_property_values").otherwise(reason)
-        if name == "electrical_conductivity":
-            reason = F.when(X.matches(s, ELECTROLYTE, True), "electrolyte_property_not_cathode").otherwise(reason)
-        found.append(F.when(F.size(values) > 0, F.struct(F.lit(name).alias("property"), reason.alias("reason"), values.alias("v"), units.alias("u"))))
+
+    def measured(name: str, pattern: str, unit: str | None):
+        def body(v: Column) -> Column:
+            units = F.transform(X.find_all(s, pattern, True, 2), lambda u: F.when(F.lower(u) == "mw", "mW/cm²").otherwise("W/cm²")) if unit is None else F.transform(v, lambda _: F.lit(unit))
+            reason = F.when(F.size(v) != F.size("t"), "unpaired_value_temperature")
+            if name == "ASR":
+                reason = F.when(F.size(X.find_all(s, OHM, True)) != F.size(v), "multiple_unpaired_property_values").otherwise(reason)
+            if name == "electrical_conductivity":
+                reason = F.when(X.matches(s, ELECTROLYTE, True), "electrolyte_property_not_cathode").otherwise(reason)
+            return F.when(F.size(v) > 0, F.struct(F.lit(name).alias("property"), reason.alias("reason"), v.alias("v"), units.alias("u")))
+
+        return X.let(F.transform(X.find_all(s, pattern, True, 1), X.parse_number), body)
+
+    found = [measured(name, *rule) for name, rule in PROPERTIES.items()]
     p = r.withColumn("x", F.explode(F.array_compact(F.array(*found)))).select(*own, "t", "x.*")
-    rejected = p.filter("reason IS NOT NULL").select(*own, "property", "reason", F.lit(None).cast("double").alias("value"), F.lit(None).cast("string").alias("unit"), F.lit(None).cast("double").alias("temperature_c"))
-    paired = p.filter("reason IS NULL").withColumn("z", F.explode(F.arrays_zip("v", "u", "t"))).select(*own, "property", "reason", F.col("z.v").alias("value"), F.col("z.u").alias("unit"), F.col("z.t").alias("temperature_c"))
-    return paired.unionByName(rejected)
+    # one pass for both: a rejected property gives one row without a value
+    nothing = F.struct(F.lit(None).cast("double").alias("v"), F.lit(None).cast("string").alias("u"), F.lit(None).cast("double").alias("t"))
+    z = F.explode(F.when(F.col("reason").isNull(), F.arrays_zip("v", "u", "t")).otherwise(F.array(nothing)))
+    return p.select(*own, "property", "reason", z.alias("z")).select(*own, "property", "reason", F.col("z.v").alias("value"), F.col("z.u").alias("unit"), F.col("z.t").alias("temperature_c"))
 
 
 KEY = ("formula_key", "property", "value", "unit", "temperature_c")

@@ -335,9 +335,15 @@ RENDER = """CASE p_partkey % 5 WHEN 0 THEN 'Sample ' || p_brand || ' showed a po
  ELSE 'Peak power density of ' || p_size || ' mW cm-2 and 7 mW cm-2 at 650 °C.' END"""
 
 
+def _dealt(rows: DataFrame) -> DataFrame:
+    """rows over all cores: a million short ones fit in one split of a file, but their patterns take minutes. Written, as filters would
+    be pushed below a mere repartition, back into that one task."""
+    return lineage.cut(rows.repartition(4 * rows.sparkSession.sparkContext.defaultParallelism), "dealt")
+
+
 def _sentences(spark, sf_dir) -> DataFrame:
     p = table(spark, sf_dir, "part")
-    return p.select(F.col("p_partkey").cast("string").alias("source_id"), F.lit(1).alias("page"), F.expr(RENDER).alias("sentence"), F.concat(F.lit("LaSrO"), F.col("p_size") % 3).alias("formula"), "p_brand")
+    return _dealt(p.select(F.col("p_partkey").cast("string").alias("source_id"), F.lit(1).alias("page"), F.expr(RENDER).alias("sentence"), F.concat(F.lit("LaSrO"), F.col("p_size") % 3).alias("formula"), "p_brand"))
 
 
 #: A sentence for each reason to reject, and for each property that is measured.
@@ -351,7 +357,7 @@ VARIED = """CASE p_partkey % 16 WHEN 0 THEN 'Sample ' || p_brand || ' showed a p
 
 def _varied(spark, sf_dir) -> DataFrame:
     p = table(spark, sf_dir, "part")
-    return p.select(F.col("p_partkey").cast("string").alias("source_id"), F.lit(1).alias("page"), F.expr(VARIED).alias("sentence"), F.lit("LaSrO3").alias("formula"))
+    return _dealt(p.select(F.col("p_partkey").cast("string").alias("source_id"), F.lit(1).alias("page"), F.expr(VARIED).alias("sentence"), F.lit("LaSrO3").alias("formula")))
 
 
 @query("""SELECT CASE p_partkey % 16 WHEN 1 THEN 'secondary_or_cited_statement' WHEN 2 THEN 'range_approximate_or_inequality' WHEN 3 THEN 'composite_material_not_single_formula' WHEN 6 THEN 'ambiguous_or_cited_sentence'
@@ -377,7 +383,7 @@ def promotion_pairing(spark, sf_dir):
  SELECT source_id, formula_key, value, temperature_c FROM m WHERE NOT EXISTS (SELECT 1 FROM old WHERE old.formula_key = m.formula_key AND old.value = m.value AND old.temperature_c = m.temperature_c)""".replace("'lasro' || p_size % 3", "CASE p_size % 3 WHEN 0 THEN 'lasro0' WHEN 1 THEN 'lasro1' ELSE 'lasro2' END"))
 def promotion_new_vs_existing(spark, sf_dir):
     kept = _sentences(spark, sf_dir).filter(promotion.reject_reason(F.col("sentence")).isNull())
-    paired = promotion.pair_measurements(kept).filter("property = 'ASR'")
+    paired = lineage.cut(promotion.pair_measurements(kept).filter("property = 'ASR'"), "paired")  # read twice
     least = table(spark, sf_dir, "part").agg(F.min("p_brand").alias("p_brand"))
     old = table(spark, sf_dir, "part").join(F.broadcast(least), "p_brand", "left_semi").select(F.col("p_partkey").cast("string").alias("source_id"))
     known = paired.join(old, "source_id", "left_semi").withColumn("formula_key", X.formula_key(F.col("formula")))

@@ -44,3 +44,12 @@ def test_extraction_normalises_and_hashes_a_page_once(spark):
     assert len(got) == 2 and got[said[1]] is None
     span = got[said[0]]
     assert text.encode("utf-16-le")[2 * span.start : 2 * span.end].decode("utf-16-le") == said[0]
+
+
+def test_sentences_are_dealt_over_cores_and_paired_once(spark):
+    from quarrylight.operators import promotion
+
+    kept = Q._sentences(spark, SF).filter(promotion.reject_reason(F.col("sentence")).isNull())
+    assert kept.rdd.getNumPartitions() > 1
+    paired = plan(promotion.pair_measurements(kept))
+    assert "Union" not in paired and paired.count("Relation") == 1
